@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.ml import Transformer
+from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.feature import (
     OneHotEncoder,
     StringIndexer,
@@ -75,7 +75,7 @@ def code_levels(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def fit_features(df: DataFrame, kind: str, max_codes: int = 5_000_000) -> list[Transformer]:
-    """Fitted indexer, encoder and assembler of one claim type.
+    """Fitted indexers, encoder and assembler of one claim type.
 
     ``StringIndexer.fit`` merges every task's counts in a single task; here they
     are grouped across the cluster and only the vocabulary, which is part of the
@@ -98,16 +98,18 @@ def fit_features(df: DataFrame, kind: str, max_codes: int = 5_000_000) -> list[T
     empty = [c for c, labels in zip(columns, vocabulary) if not labels]
     if empty:
         raise ValueError(f"no claim has a value in {empty} and in every column before")
-    indexer = StringIndexerModel.from_arrays_of_labels(
-        vocabulary, columns, _names(columns, "idx"), "skip"
-    )
+    # One model per column: the many-column constructor pads shorter label lists with nulls.
+    indexers = [
+        StringIndexerModel.from_labels(labels, column, name, "skip")
+        for labels, column, name in zip(vocabulary, columns, _names(columns, "idx"))
+    ]
     varying = [c for c, labels in zip(columns, vocabulary) if len(labels) > 1]
-    # The indexer's output metadata holds the level counts: this fit reads no rows.
-    encoder = code_encoder(varying).fit(indexer.transform(df))
-    return [indexer, encoder, assembler(varying)]
+    # The indexers' output metadata holds the level counts: this fit reads no rows.
+    encoder = code_encoder(varying).fit(PipelineModel(indexers).transform(df))
+    return [*indexers, encoder, assembler(varying)]
 
 
 def constant_columns(stages: Sequence[Transformer]) -> list[str]:
     """Columns that ``fit_features`` left out of the vector."""
-    indexer = stages[0]
-    return [c for c, labels in zip(indexer.getInputCols(), indexer.labelsArray) if len(labels) < 2]
+    indexers = [s for s in stages if isinstance(s, StringIndexerModel)]
+    return [s.getInputCol() for s in indexers if len(s.labels) < 2]
