@@ -72,22 +72,46 @@ def residual_stats(scored: DataFrame) -> DataFrame:
     )
 
 
-def provider_profile(claims: DataFrame, types: Sequence[str] = tuple(fixed.CLAIM_TYPES)) -> DataFrame:
-    """Statistics and raw/scored claim counts per provider from one pass.
+def provider_profile(
+    raw: DataFrame, scored: DataFrame | Column, types: Sequence[str] = tuple(fixed.CLAIM_TYPES)
+) -> DataFrame:
+    """Statistics and raw/scored claim counts per provider from one grouping.
 
-    ``claims`` has a boolean ``scored``. The result, one row per provider, feeds
-    both the effect test and the audit.
+    ``scored`` is the frame of scored claims, or a boolean column of ``raw``. The
+    result, one row per provider, feeds both the effect test and the audit, so
+    claims are scored once.
     """
+    keys = [fixed.PROVIDER, fixed.CLAIM_TYPE, "period"]
+    measures = [fixed.AMOUNT, "prediction"]
+    if isinstance(scored, Column):
+        rows = raw.select(
+            *keys, *measures, F.lit(True).alias("is_raw"), scored.alias("is_scored")
+        )
+    else:
+        predicted = scored.select(
+            *keys,
+            *[F.col(m).cast("double").alias(m) for m in measures],
+            F.lit(False).alias("is_raw"),
+            F.lit(True).alias("is_scored"),
+        )
+        rows = predicted.unionByName(
+            raw.select(
+                *keys,
+                *[F.lit(None).cast("double").alias(m) for m in measures],
+                F.lit(True).alias("is_raw"),
+                F.lit(False).alias("is_scored"),
+            )
+        )
     counts = []
     for kind in types:
         for period in fixed.PERIODS:
             here = (F.col(fixed.CLAIM_TYPE) == kind) & (F.col("period") == period)
             counts += [
-                F.count_if(here).alias(f"raw_{kind}_{period}"),
-                F.count_if(here & F.col("scored")).alias(f"scored_{kind}_{period}"),
+                F.count_if(here & F.col("is_raw")).alias(f"raw_{kind}_{period}"),
+                F.count_if(here & F.col("is_scored")).alias(f"scored_{kind}_{period}"),
             ]
-    known = claims.where(F.col(fixed.PROVIDER).isNotNull())
-    return known.groupBy(fixed.PROVIDER).agg(*_period_stats(F.col("scored")), *counts)
+    known = rows.where(F.col(fixed.PROVIDER).isNotNull())
+    return known.groupBy(fixed.PROVIDER).agg(*_period_stats(F.col("is_scored")), *counts)
 
 
 def profile_stats(profile: DataFrame) -> DataFrame:

@@ -30,5 +30,5 @@ def merge_metrics(tables: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), tables)
 
 
-def row_count(df: DataFrame) -> DataFrame:
-    return df.agg(F.count("*").alias("cnt"))
+def row_count(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    return df.groupBy(*by).agg(F.count("*").alias("cnt"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,28 +47,31 @@ def project_claims(df: DataFrame, kind: str) -> DataFrame:
     return df.select(*scoring_columns(kind))
 
 
-def prepare_training(df: DataFrame, kind: str) -> DataFrame:
-    """Claims of one type with label; only the model's columns are read.
+def prepare_training(df: DataFrame, kind: str, keys: Sequence[str] = ()) -> DataFrame:
+    """Claims of one type with label; only the model's columns and ``keys`` are read.
 
     Type A may come as a table of its own without a type column.
     """
     if fixed.CLAIM_TYPE in [c.lower() for c in df.columns]:
         df = claims_of_type(df, kind)
-    keep = [*fixed.code_columns(kind), fixed.AMOUNT]
-    named = as_label(blank_to_token(df.select(*keep)))
-    return named.toDF(*[c.upper() if c != "label" else c for c in named.columns])
+    codes = fixed.code_columns(kind)
+    named = as_label(blank_to_token(df.select(*codes, fixed.AMOUNT, *keys)))
+    return named.toDF(*[c.upper() for c in codes], "label", *keys)
 
 
-def prepare_scoring(before: DataFrame, after: DataFrame, kind: str) -> DataFrame:
-    """Claims of one type from both periods in one frame, upper-case names.
+def with_periods(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Claims from before and after education as one frame with a ``period``."""
+    return before.withColumn("period", F.lit("before")).unionByName(
+        after.withColumn("period", F.lit("after"))
+    )
 
-    ``PERIOD`` tells the two apart, so everything after it runs once, not twice.
-    """
 
-    def one(df: DataFrame, period: str) -> DataFrame:
-        if fixed.CLAIM_TYPE in [c.lower() for c in df.columns]:
-            df = claims_of_type(df, kind)
-        prepared = upper_columns(blank_to_token(project_claims(df, kind)))
-        return prepared.withColumns({"PERIOD": F.lit(period), "CLM_SRC_TYPE": F.lit(kind)})
+def prepare_scoring(claims: DataFrame, kind: str) -> DataFrame:
+    """Claims of one type with ``period``, projected for scoring, upper-case names.
 
-    return one(before, "before").unionByName(one(after, "after"))
+    Both periods stay in one frame, so everything after it runs once, not twice.
+    """
+    if fixed.CLAIM_TYPE in [c.lower() for c in claims.columns]:
+        claims = claims_of_type(claims, kind)
+    kept = claims.select(*scoring_columns(kind), "period")
+    return upper_columns(blank_to_token(kept)).withColumn("CLM_SRC_TYPE", F.lit(kind))

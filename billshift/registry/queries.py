@@ -41,10 +41,7 @@ def _scoring_claims(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
 
 def scoring_frame(kind: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        claims = _scoring_claims(spark, sf_dir, kind)
-        frame = prep.prepare_scoring(
-            claims.where(F.col("period") == "before"), claims.where(F.col("period") == "after"), kind
-        )
+        frame = prep.prepare_scoring(_scoring_claims(spark, sf_dir, kind), kind)
         return _rounded(_dates_as_text(frame), CLM_SBMT_CHRG_AMT=2)
 
     return query
@@ -62,13 +59,14 @@ def training_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def claims_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = [
-        metrics.row_count(prep.claims_of_type(star.claims(spark, sf_dir, kind), kind)).select(
-            F.lit(kind).alias(fixed.CLAIM_TYPE), "cnt"
-        )
-        for kind in fixed.CLAIM_TYPES
-    ]
-    return metrics.merge_metrics(counts)
+    return metrics.row_count(star.claims(spark, sf_dir), [fixed.CLAIM_TYPE])
+
+
+def claims_of_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    slices = prep.claims_of_type(star.claims(spark, sf_dir), "DME")
+    return _rounded(
+        slices.select(fixed.PROVIDER, fixed.CLAIM_TYPE, "period", fixed.AMOUNT), clm_sbmt_chrg_amt=2
+    )
 
 
 # --- effect of the education ----------------------------------------------
@@ -133,7 +131,7 @@ def skipped_audit_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def skipped_audit_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    profile = effect.provider_profile(star.estimated(spark, sf_dir))
+    profile = effect.provider_profile(star.estimated(spark, sf_dir), F.col("scored"))
     counts = audit.profile_counts(profile)
     return _dates_as_text(audit.skipped_claims(counts, star.RUN_DATE))
 
@@ -142,7 +140,7 @@ def skipped_audit_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stored_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Test results as a written table: one row per provider, used more than once."""
+    """Test results as a written table: one row per provider, joined further on."""
     return writers.materialise(_results(spark, sf_dir), "results")
 
 
@@ -168,7 +166,7 @@ def _alerts(spark: SparkSession, sf_dir: str, results: DataFrame) -> DataFrame:
 
 
 def education_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _status(spark, sf_dir, _results(spark, sf_dir))
+    return _status(spark, sf_dir, _stored_results(spark, sf_dir))
 
 
 def education_not_n(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -176,27 +174,27 @@ def education_not_n(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def n_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _dates_as_text(_n_reports(spark, sf_dir, _results(spark, sf_dir)))
+    return _dates_as_text(_n_reports(spark, sf_dir, _stored_results(spark, sf_dir)))
 
 
 def n_report_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _dates_as_text(_alerts(spark, sf_dir, _results(spark, sf_dir)))
+    return _dates_as_text(_alerts(spark, sf_dir, _stored_results(spark, sf_dir)))
 
 
 def alerts_before(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _dates_as_text(reports.alerts_before(_alerts(spark, sf_dir, _results(spark, sf_dir))))
+    return _dates_as_text(reports.alerts_before(_alerts(spark, sf_dir, _stored_results(spark, sf_dir))))
 
 
 def alerts_after(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _dates_as_text(reports.alerts_after(_alerts(spark, sf_dir, _results(spark, sf_dir))))
+    return _dates_as_text(reports.alerts_after(_alerts(spark, sf_dir, _stored_results(spark, sf_dir))))
 
 
 def new_model_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.new_model_reports(_alerts(spark, sf_dir, _results(spark, sf_dir)))
+    return reports.new_model_reports(_alerts(spark, sf_dir, _stored_results(spark, sf_dir)))
 
 
 def unchanged_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.unchanged_reports(_alerts(spark, sf_dir, _results(spark, sf_dir)))
+    return reports.unchanged_reports(_alerts(spark, sf_dir, _stored_results(spark, sf_dir)))
 
 
 def all_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -222,10 +220,14 @@ def regression_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def metrics_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored metrics of three models, one table each, merged by column name."""
+    rows = _scored(spark, sf_dir)
+    by_type = metrics.regression_metrics(rows, [fixed.CLAIM_TYPE], label=fixed.AMOUNT)
+    stored = writers.materialise(by_type, "metrics")
     tables = [
-        metrics.regression_metrics(
-            star.estimated(spark, sf_dir, kind).where("scored"), label=fixed.AMOUNT
-        ).select(F.lit(f"charge_{kind}").alias("model_name"), "*")
+        prep.claims_of_type(stored, kind)
+        .drop(fixed.CLAIM_TYPE)
+        .select("*", F.lit(f"charge_{kind}").alias("model_name"))
         for kind in fixed.CLAIM_TYPES
     ]
     return _metrics(metrics.merge_metrics(tables))
@@ -281,11 +283,9 @@ def ml_train_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = []
     for kind in fixed.CLAIM_TYPES:
         claims = _scoring_claims(spark, sf_dir, kind)
-        before = claims.where(F.col("period") == "before")
-        after = claims.where(F.col("period") == "after")
-        model = training.fit(prep.prepare_training(before, kind), kind)
-        frame = training.score(model, prep.prepare_scoring(before, after, kind))
-        scored.append(effect.residuals(frame))
+        learn = prep.prepare_training(claims.where(F.col("period") == "before"), kind)
+        model = training.fit(learn, kind)
+        scored.append(effect.residuals(training.score(model, prep.prepare_scoring(claims, kind))))
     stats = effect.before_after(metrics.merge_metrics(scored))
     return _rounded(effect.test_results(stats), average_difference=2, t_value=4, p_value=4)
 
@@ -324,6 +324,7 @@ QUERIES: dict[str, Query] = {
     "scoring_frame_dme": scoring_frame("DME"),
     "training_frame": training_frame,
     "claims_by_type": claims_by_type,
+    "claims_of_type": claims_of_type,
     "residuals": residuals,
     "residual_stats": residual_stats,
     "before_after": before_after,
