@@ -78,7 +78,8 @@ def t_two_sided(t: Column, dof: Column) -> Column:
     # One-element array: binds the shared terms once instead of once per node.
     p = F.transform(F.array(frame), tail)[0]
     return (
-        F.when(F.isnan(t) | F.isnan(dof), F.lit(float("nan")))
+        F.when(t.isNull() | dof.isNull(), F.lit(None).cast("double"))
+        .when(F.isnan(t) | F.isnan(dof), F.lit(float("nan")))
         .when(size > 1e100, F.lit(0.0))
         .otherwise(p)
     )
