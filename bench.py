@@ -42,7 +42,7 @@ HEADLINE = [
     "missing_models",
     "ml_evaluation",
 ]
-SLOW = {"ml_evaluation", "feature_activity"}  # one timed run, no warm-up
+SLOW = {"ml_evaluation"}  # one timed run, no warm-up
 
 
 def main() -> None:
@@ -53,7 +53,6 @@ def main() -> None:
     spark = (
         tuned(SparkSession.builder.master(f"local[{cpus}]").appName("bench"))
         .config("spark.sql.shuffle.partitions", cpus)
-        .config("spark.sql.files.maxPartitionBytes", "8m")
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

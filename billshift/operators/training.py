@@ -15,7 +15,7 @@ from billshift import fixed
 from billshift.functions.split import split_bucket
 from billshift.operators.features import feature_stages, fit_features
 from billshift.operators.metrics import regression_metrics
-from billshift.sources.writers import save_pipeline, write_table
+from billshift.sources.writers import materialise, save_pipeline, write_table
 
 
 def random_split(
@@ -96,8 +96,11 @@ def train(
     """Split, fit, save and evaluate one claim type; writes its evaluation row.
 
     ``keys`` selects the key-hash split, otherwise the seeded one is used.
-    ``train_time`` is wall-clock seconds of the fit.
+    ``train_time`` is wall-clock seconds of the fit. The prepared claims are read
+    several times (vocabulary, regression, evaluation), so they are written once as
+    a narrow table; that also fixes the partitions a seeded split depends on.
     """
+    df = materialise(df, f"training-{kind}")
     train_ts = datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
     learn, holdout = hash_split(df, keys) if keys else random_split(df)
     if keys:

@@ -6,7 +6,7 @@ shown as text.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -49,7 +49,7 @@ def scoring_frame(kind: str) -> Query:
 
 def blank_token(spark: SparkSession, sf_dir: str) -> DataFrame:
     claims = _scoring_claims(spark, sf_dir, "B")
-    frame = prep.upper_columns(prep.project_claims(prep.blank_to_token(claims), "B"))
+    frame = prep.upper_columns(prep.blank_to_token(prep.project_claims(claims, "B")))
     return _rounded(_dates_as_text(frame), CLM_SBMT_CHRG_AMT=2)
 
 
@@ -242,10 +242,11 @@ def hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(rows, charged=2)
 
 
-def _training_claims(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
-    return prep.prepare_training(
-        star.claims(spark, sf_dir, kind, fixed.code_columns(kind)), kind
-    )
+def _training_claims(
+    spark: SparkSession, sf_dir: str, kind: str, keys: Sequence[str] = ()
+) -> DataFrame:
+    claims = star.claims(spark, sf_dir, kind, fixed.code_columns(kind))
+    return prep.prepare_training(claims, kind, keys)
 
 
 def code_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -256,7 +257,7 @@ def code_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def feature_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Claims per position of the assembled vector: indexing, encoding, assembly."""
-    claims = _training_claims(spark, sf_dir, "B")
+    claims = writers.materialise(_training_claims(spark, sf_dir, "B"), "training-B")
     frame = claims
     for stage in features.fit_features(claims, "B"):
         frame = stage.transform(frame)
@@ -270,10 +271,10 @@ def ml_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hold-out metrics of the fitted regression, per claim type."""
     tables = []
     for kind in fixed.CLAIM_TYPES:
-        claims = star.claims(spark, sf_dir, kind, fixed.code_columns(kind))
+        claims = _training_claims(spark, sf_dir, kind, star.ROW_KEY)
+        claims = writers.materialise(claims, f"training-{kind}")
         learn, holdout = training.hash_split(claims, star.ROW_KEY)
-        model = training.fit(prep.prepare_training(learn, kind), kind)
-        row = training.evaluate(model, prep.prepare_training(holdout, kind))
+        row = training.evaluate(training.fit(learn, kind), holdout)
         tables.append(row.select(F.lit(f"charge_{kind}").alias("model_name"), "*"))
     return _metrics(metrics.merge_metrics(tables))
 
@@ -284,7 +285,7 @@ def ml_train_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     for kind in fixed.CLAIM_TYPES:
         claims = _scoring_claims(spark, sf_dir, kind)
         learn = prep.prepare_training(claims.where(F.col("period") == "before"), kind)
-        model = training.fit(learn, kind)
+        model = training.fit(writers.materialise(learn, f"training-{kind}"), kind)
         scored.append(effect.residuals(training.score(model, prep.prepare_scoring(claims, kind))))
     stats = effect.before_after(metrics.merge_metrics(scored))
     return _rounded(effect.test_results(stats), average_difference=2, t_value=4, p_value=4)

@@ -21,19 +21,42 @@ RETURN_FLAGS = {"A": "A", "B": "N", "DME": "R"}
 
 ROW_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
+# Declared, so that a read starts without a job to infer them.
+SCHEMAS = {
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,"
+        " l_quantity double, l_extendedprice double, l_discount double, l_tax double,"
+        " l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+        " o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "part": (
+        "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int,"
+        " p_retailprice double"
+    ),
+    "customer": (
+        "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    ),
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+}
+
+# Where a line lacks its service code or first diagnosis.
+NO_HCPCS = "l_suppkey % 41 = 40"
+NO_DIAGNOSIS = "tax_percent = 8 AND discount_percent = 10"
+
 # Code column -> SQL over the table that carries it.
 LINE_CODES = {
     fixed.HCPCS: (
-        "CASE WHEN l_suppkey % 41 <> 40 THEN concat('Q', cast(cast(l_quantity AS int) AS string)) END"
+        f"CASE WHEN NOT ({NO_HCPCS}) THEN concat('Q', cast(cast(l_quantity AS int) AS string)) END"
     ),
     fixed.MODIFIERS[0]: "CASE WHEN l_linestatus = 'F' THEN '' ELSE l_linestatus END",
     fixed.MODIFIERS[1]: "cast(l_linenumber AS string)",
-    fixed.PRINCIPAL_DIAGNOSIS: (
-        "concat('D', cast(cast(round(l_discount * 100) AS int) AS string))"
-    ),
+    fixed.PRINCIPAL_DIAGNOSIS: "concat('D', cast(discount_percent AS string))",
     fixed.DIAGNOSES[0]: (
-        "CASE WHEN NOT (round(l_tax * 100) = 8 AND round(l_discount * 100) = 10)"
-        " THEN concat('T', cast(cast(round(l_tax * 100) AS int) AS string)) END"
+        f"CASE WHEN NOT ({NO_DIAGNOSIS}) THEN concat('T', cast(tax_percent AS string)) END"
     ),
 }
 PART_CODES = {
@@ -56,7 +79,7 @@ CUSTOMER_CODES = {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def education_date(supplier_key: str) -> Column:
@@ -70,6 +93,7 @@ def claims(
 ) -> DataFrame:
     """Claim lines with provider, type, period and amount, plus ``codes``.
 
+    ``scored`` tells whether a model that skips missing codes could score the line.
     ``kind`` filters on the stored flag, so the scan receives it.
     """
     df = table(spark, sf_dir, "lineitem")
@@ -89,21 +113,31 @@ def claims(
             orders = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
         df = df.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
-    educated = education_date("l_suppkey")
-    shipped = F.col("l_shipdate").cast("date")
-    after = shipped >= educated
+    # Two steps: Spark keeps a shared expression of the first one from being repeated.
     claim_type = F.lit(kind) if kind is not None else _claim_type()
-    reduced = after & (F.col("l_suppkey") % 3 == 0)
+    df = df.withColumns(
+        {
+            fixed.EDUCATION_DATE: education_date("l_suppkey"),
+            fixed.SERVICE_DATE: F.col("l_shipdate").cast("date"),
+            "tax_percent": (F.col("l_tax") * 100 + 0.5).cast("int"),
+            "discount_percent": (F.col("l_discount") * 100 + 0.5).cast("int"),
+        }
+    ).withColumn(
+        "period",
+        F.when(F.col(fixed.SERVICE_DATE) >= F.col(fixed.EDUCATION_DATE), "after").otherwise("before"),
+    )
+    reduced = (F.col("period") == "after") & (F.col("l_suppkey") % 3 == 0)
     expressions = {**LINE_CODES, **PART_CODES, **ORDER_CODES, **CUSTOMER_CODES}
     return df.select(
         (F.col("l_suppkey") + PROVIDER_OFFSET).alias(fixed.PROVIDER),
         claim_type.alias(fixed.CLAIM_TYPE),
-        F.when(after, "after").otherwise("before").alias("period"),
-        shipped.alias(fixed.SERVICE_DATE),
-        educated.alias(fixed.EDUCATION_DATE),
+        "period",
+        fixed.SERVICE_DATE,
+        fixed.EDUCATION_DATE,
         F.when(reduced, F.col("l_extendedprice") * 0.8)
         .otherwise(F.col("l_extendedprice"))
         .alias(fixed.AMOUNT),
+        F.expr(f"NOT ({NO_HCPCS}) AND NOT ({NO_DIAGNOSIS})").alias("scored"),
         F.col("l_quantity"),
         *ROW_KEY,
         *[F.expr(expressions[c]).alias(c) for c in codes],
@@ -119,12 +153,12 @@ def _claim_type() -> Column:
 
 
 def estimated(spark: SparkSession, sf_dir: str, kind: str | None = None) -> DataFrame:
-    """Claims with a closed-form ``prediction`` and whether a model could score them.
+    """Claims with a closed-form ``prediction``.
 
     One least-squares line of amount on quantity per claim type, fitted on the
     claims before education. The coefficients are one row per claim type.
     """
-    df = claims(spark, sf_dir, kind, codes=[fixed.HCPCS, fixed.DIAGNOSES[0]])
+    df = claims(spark, sf_dir, kind)
     lines = (
         df.where((F.col("period") == "before") & F.col(fixed.CLAIM_TYPE).isin(fixed.CLAIM_TYPES))
         .groupBy(fixed.CLAIM_TYPE)
@@ -137,7 +171,6 @@ def estimated(spark: SparkSession, sf_dir: str, kind: str | None = None) -> Data
     return df.join(F.broadcast(lines), fixed.CLAIM_TYPE, "left").select(
         *df.columns,
         (F.col("intercept") + F.col("slope") * F.col("l_quantity")).alias("prediction"),
-        (F.col(fixed.HCPCS).isNotNull() & F.col(fixed.DIAGNOSES[0]).isNotNull()).alias("scored"),
     )
 
 
