@@ -53,6 +53,26 @@ REG_PARAM = 0.1
 ELASTIC_NET = 1.0
 ALGORITHM = "Linear Regression"
 
+# Column names (spelling included) that readers of older tables expect.
+PUBLISHED_RESULT = {
+    "provider_id": "Educated_NPI",
+    "average_difference": "Averge_Difference",
+    "t_value": "Test_Value",
+    "p_value": "P_value",
+    "flag": "Flag",
+}
+PUBLISHED_EVALUATION = {
+    "model_name": "Model_name",
+    "algorithm": "Algorithm",
+    "train_ts": "Train_ts",
+    "train_time": "Train_time",
+    "train_size": "Train_size",
+    "rmse": "Root_Mean_Sqaured_Error",
+    "mse": "Mean_Squared_Error",
+    "r2": "R_Squared",
+    "mae": "Mean_Absolute_Error",
+}
+
 # Sub-folders of saved pipelines, suffixes of result tables.
 FITTED_FOLDER = "trainedpipeline"
 UNFITTED_FOLDER = "pipeline"

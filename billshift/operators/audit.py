@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from billshift import fixed
+from billshift.functions.dates import run_day
 
 _KEYS = [fixed.PROVIDER, fixed.CLAIM_TYPE, "period"]
 
@@ -48,7 +49,9 @@ def profile_counts(profile: DataFrame, types: Sequence[str] = tuple(fixed.CLAIM_
     return profile.select(fixed.PROVIDER, F.inline(cells))
 
 
-def skipped_claims(counts: DataFrame, run_date: str, strict: bool = False) -> DataFrame:
+def skipped_claims(
+    counts: DataFrame, run_date: str | None = None, strict: bool = False
+) -> DataFrame:
     """Where scored and raw counts differ: claims before and after the model saw them.
 
     A provider whose claims were all skipped is reported with 0. ``strict=True``
@@ -60,7 +63,7 @@ def skipped_claims(counts: DataFrame, run_date: str, strict: bool = False) -> Da
     return counts.where(differs).select(
         fixed.PROVIDER,
         fixed.CLAIM_TYPE,
-        F.lit(run_date).cast("date").alias("run_date"),
+        run_day(run_date).alias("run_date"),
         F.col("period").alias("before_after_educ"),
         "before",
         "after",

@@ -198,3 +198,11 @@ def test_results(stats: DataFrame, alpha: float = fixed.ALPHA, direction: str =
 
 
 test_results.__test__ = False  # not a pytest function
+
+
+def as_published(results: DataFrame) -> DataFrame:
+    """Results under the names and 32-bit measures older tables use; ids stay 64-bit."""
+    narrow = results.withColumns(
+        {c: F.col(c).cast("float") for c in ("average_difference", "t_value", "p_value")}
+    )
+    return narrow.select(*[F.col(c).alias(n) for c, n in fixed.PUBLISHED_RESULT.items()])

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from billshift import fixed
+from billshift.functions.dates import run_day
 from billshift.functions.ids import as_id
 
 
@@ -15,7 +16,7 @@ def education_status(
     all_educated: DataFrame,
     educated_list: DataFrame,
     results: DataFrame,
-    run_date: str,
+    run_date: str | None = None,
     recent_days: int = fixed.RECENT_DAYS,
     strict: bool = False,
 ) -> DataFrame:
@@ -33,7 +34,7 @@ def education_status(
         .join(used, fixed.REPORT, "left")
         .join(outcome, "subject", "left")
     )
-    age = F.datediff(F.lit(run_date).cast("date"), F.col(fixed.MAX_ALERT_DATE))
+    age = F.datediff(run_day(run_date), F.col(fixed.MAX_ALERT_DATE))
     status = (
         F.when(F.col("flag").isNotNull(), F.col("flag"))
         .when(F.col("used").isNotNull(), fixed.FLAG_UNTESTABLE)
@@ -150,7 +151,7 @@ def all_flags(alerts: DataFrame, status: DataFrame) -> DataFrame:
 def increment(
     report_list: DataFrame,
     flags: DataFrame,
-    run_date: str,
+    run_date: str | None = None,
     strict: bool = False,
     date_col: str = "run_date",
     flag_col: str = "report_flag",
@@ -165,6 +166,6 @@ def increment(
         known = known.distinct()
     return report_list.select(fixed.REPORT).join(known, fixed.REPORT, "left").select(
         fixed.REPORT,
-        F.lit(run_date).cast("date").alias(date_col),
+        run_day(run_date).alias(date_col),
         F.coalesce("testing_flag", F.lit(fixed.FLAG_NONE)).alias(flag_col),
     )

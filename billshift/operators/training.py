@@ -53,11 +53,17 @@ def training_pipeline(kind: str) -> Pipeline:
 
 
 def fit(df: DataFrame, kind: str, aggregation_depth: int = 2) -> PipelineModel:
-    """Fit the pipeline of one claim type; claims without a label are left out."""
+    """Fit the pipeline of one claim type; claims without a label are left out.
+
+    Each task of the regression sends a buffer as large as the model's matrix or
+    gradient, so partitions are merged (without a shuffle) down to a few per core.
+    """
     labelled = df.where(F.col("label").isNotNull())
     stages = fit_features(labelled, kind)
     features = PipelineModel(stages).transform(labelled).select("features", "label")
-    return PipelineModel([*stages, charge_regressor(aggregation_depth).fit(features)])
+    tasks = 3 * df.sparkSession.sparkContext.defaultParallelism
+    regressor = charge_regressor(aggregation_depth).fit(features.coalesce(tasks))
+    return PipelineModel([*stages, regressor])
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -85,6 +91,11 @@ def evaluation_row(
     )
 
 
+def as_published(evaluation: DataFrame) -> DataFrame:
+    """Evaluation rows under the names older tables use."""
+    return evaluation.select(*[F.col(c).alias(n) for c, n in fixed.PUBLISHED_EVALUATION.items()])
+
+
 def train(
     df: DataFrame,
     kind: str,

@@ -111,19 +111,23 @@ def save_pipeline(root: str, model_id: str, pipeline: Pipeline | PipelineModel)
     return path
 
 
+_local_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session may go without it and gets a temporary folder, which is
-    then kept in the session's setting.
+    Only a local session may go without it; it gets one temporary folder.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        folder = tempfile.mkdtemp(prefix="billshift-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if folder is not None:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+    application = spark.sparkContext.applicationId
+    if application not in _local_folders:
+        _local_folders[application] = tempfile.mkdtemp(prefix="billshift-")
+    return _local_folders[application]
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

@@ -173,3 +173,10 @@ def test_audit_reports_and_strict_hides_fully_skipped(spark):
 
     assert result(strict=False) == [(1, 2, 1), (2, 2, 0)]
     assert result(strict=True) == [(1, 2, 1)]
+
+
+def test_published_form(spark):
+    df = spark.createDataFrame([(9_876_543_210, 0.0, 1.0, 60, 1.0, 1.0, 60)], STATS)
+    out = effect.as_published(effect.test_results(df))
+    assert out.columns == ["Educated_NPI", "Averge_Difference", "Test_Value", "P_value", "Flag"]
+    assert [t for _, t in out.dtypes] == ["bigint", "float", "float", "float", "string"]

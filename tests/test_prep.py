@@ -55,3 +55,13 @@ def test_training_frame_has_label_and_codes_only(spark):
     frame = prep.prepare_training(claim_table(spark), "DME")
     assert frame.columns == [c.upper() for c in fixed.code_columns("DME")] + ["label"]
     assert frame.count() == 1
+
+
+def test_type_filter_and_columns_reach_the_stored_claims(spark, tmp_path):
+    path = str(tmp_path / "claims")
+    claim_table(spark).write.parquet(path)
+    stored = spark.read.parquet(path)
+    frame = prep.prepare_scoring(prep.with_periods(stored, stored), "B").select("CLM_SBMT_CHRG_AMT")
+    text = frame._jdf.queryExecution().executedPlan().toString()
+    assert text.count("EqualTo(clm_src_type,B)") == 2  # before and after
+    assert "remark" not in text and "state_cd" not in text

@@ -162,5 +162,11 @@ def test_repeated_flags_count_once_unless_strict(spark):
     assert reports.increment(to_publish, known, "2001-12-31", strict=True).count() == 4
 
 
+def test_run_date_defaults_to_today(spark):
+    known = spark.createDataFrame([(1, "Y")], "asrpt_id bigint, testing_flag string")
+    out = reports.increment(known.select("asrpt_id"), known)
+    assert out.where("run_date = current_date()").count() == 1
+
+
 def test_fixed_flags():
     assert fixed.FLAG_RECENT == "<90days" and fixed.RECENT_DAYS == 365

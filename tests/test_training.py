@@ -132,6 +132,13 @@ def test_train_saves_model_and_evaluation(spark, claims, tmp_path):
     row = spark.read.parquet(str(tmp_path / "evaluation")).first()
     assert (row["model_name"], row["algorithm"]) == ("charge_B", fixed.ALGORITHM)
     assert 0 < row["train_size"] < 600 and row["rmse"] > 0
+    published = training.as_published(spark.read.parquet(str(tmp_path / "evaluation")))
+    assert published.columns[-4:] == [
+        "Root_Mean_Sqaured_Error",
+        "Mean_Squared_Error",
+        "R_Squared",
+        "Mean_Absolute_Error",
+    ]
     again = PipelineModel.load(str(tmp_path / "partb" / "trainedpipeline"))
     a, b = (m.transform(claims).agg(F.sum("prediction")).first()[0] for m in (model, again))
     assert a == b
