@@ -35,7 +35,7 @@ HEADLINE = [
     "hash_split",
     "blank_token",
     "scoring_frame_a",
-    "training_frame",
+    "training_frame_dme",
     "code_levels",
     "feature_activity",
     "params_map",

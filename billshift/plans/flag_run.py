@@ -59,9 +59,9 @@ def run(
     """Score, test, audit, flag and publish; returns the day's increment.
 
     Each stage is written under ``out`` and read back by the next, so nothing above
-    it runs again and a restarted run can lose no more than one stage. Claims are
-    scored once: the provider profile, one row per provider, serves the test and
-    the audit. With ``schema`` every table is registered there.
+    it runs again, whatever executors are lost. Claims are scored once: the provider
+    profile, one row per provider, serves the test and the audit. With ``schema``
+    every table is registered there.
     """
 
     def store(df: DataFrame, name: str) -> DataFrame:
@@ -71,6 +71,13 @@ def run(
             return register_table(spark, f"{schema}.{name}", path)
         return read_table(spark, path)
 
+    def publish(df: DataFrame, name: str) -> DataFrame:
+        path = f"{out.rstrip('/')}/{name}"
+        publish_increment(df, path, run_date)
+        if schema is not None:
+            register_table(spark, f"{schema}.{name}", path)
+        return read_table(spark, path).where(F.col("run_date") == F.lit(run_date).cast("date"))
+
     frames = {k: prepare_scoring(df, k) for k, df in claims_by_kind(inputs).items()}
     raw = merge_metrics([f.select(*_KEYS) for f in frames.values()])
     scored = merge_metrics(
@@ -79,8 +86,8 @@ def run(
     profile = store(effect.provider_profile(raw, scored), "provider_profile")
 
     results = store(effect.test_results(effect.profile_stats(profile)), "test_result")
-    skipped = audit.skipped_claims(audit.profile_counts(profile), run_date, strict)
-    publish_increment(skipped, f"{out.rstrip('/')}/skipped_claims", run_date)
+    counts = audit.profile_counts(profile)
+    publish(audit.skipped_claims(counts, run_date, strict), "skipped_claims")
 
     status = store(
         reports.education_status(
@@ -100,10 +107,7 @@ def run(
     n_flags = store(reports.n_flags(alerts), "n_flags")
     flags = store(n_flags.unionByName(reports.education_not_n(status)), "all_flags")
 
-    published = reports.increment(inputs.report_list, flags, run_date, strict)
-    path = f"{out.rstrip('/')}/increment"
-    publish_increment(published, path, run_date)
-    return read_table(spark, path).where(F.col("run_date") == F.lit(run_date).cast("date"))
+    return publish(reports.increment(inputs.report_list, flags, run_date, strict), "increment")
 
 
 _KEYS = [fixed.PROVIDER, fixed.CLAIM_TYPE, "period"]

@@ -48,14 +48,16 @@ def scoring_frame(kind: str) -> Query:
 
 
 def blank_token(spark: SparkSession, sf_dir: str) -> DataFrame:
-    claims = _scoring_claims(spark, sf_dir, "B")
+    claims = star.claims(spark, sf_dir, codes=fixed.code_columns("B"))
     frame = prep.upper_columns(prep.blank_to_token(prep.project_claims(claims, "B")))
     return _rounded(_dates_as_text(frame), CLM_SBMT_CHRG_AMT=2)
 
 
-def training_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    claims = star.claims(spark, sf_dir, "DME", fixed.code_columns("DME"))
-    return _rounded(prep.prepare_training(claims, "DME"), label=2)
+def training_frame(kind: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return _rounded(_training_claims(spark, sf_dir, kind), label=2)
+
+    return query
 
 
 def claims_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -322,8 +324,11 @@ def missing_models(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "blank_token": blank_token,
     "scoring_frame_a": scoring_frame("A"),
+    "scoring_frame_b": scoring_frame("B"),
     "scoring_frame_dme": scoring_frame("DME"),
-    "training_frame": training_frame,
+    "training_frame_a": training_frame("A"),
+    "training_frame_b": training_frame("B"),
+    "training_frame_dme": training_frame("DME"),
     "claims_by_type": claims_by_type,
     "claims_of_type": claims_of_type,
     "residuals": residuals,

@@ -43,9 +43,10 @@ SCHEMAS = {
     "nation": "n_nationkey int, n_name string, n_regionkey int",
 }
 
-# Where a line lacks its service code or first diagnosis.
-NO_HCPCS = "l_suppkey % 41 = 40"
-NO_DIAGNOSIS = "tax_percent = 8 AND discount_percent = 10"
+# Where a line lacks its service code or first diagnosis. The date leaves providers
+# educated in the second month without a single complete claim before.
+NO_HCPCS = "tax_percent = 8"
+NO_DIAGNOSIS = f"(discount_percent = 0 OR {fixed.SERVICE_DATE} < date '1995-02-01')"
 
 # Code column -> SQL over the table that carries it.
 LINE_CODES = {
@@ -56,7 +57,7 @@ LINE_CODES = {
     fixed.MODIFIERS[1]: "cast(l_linenumber AS string)",
     fixed.PRINCIPAL_DIAGNOSIS: "concat('D', cast(discount_percent AS string))",
     fixed.DIAGNOSES[0]: (
-        f"CASE WHEN NOT ({NO_DIAGNOSIS}) THEN concat('T', cast(tax_percent AS string)) END"
+        f"CASE WHEN NOT {NO_DIAGNOSIS} THEN concat('T', cast(tax_percent AS string)) END"
     ),
 }
 PART_CODES = {
@@ -137,7 +138,7 @@ def claims(
         F.when(reduced, F.col("l_extendedprice") * 0.8)
         .otherwise(F.col("l_extendedprice"))
         .alias(fixed.AMOUNT),
-        F.expr(f"NOT ({NO_HCPCS}) AND NOT ({NO_DIAGNOSIS})").alias("scored"),
+        F.expr(f"NOT ({NO_HCPCS}) AND NOT {NO_DIAGNOSIS}").alias("scored"),
         F.col("l_quantity"),
         *ROW_KEY,
         *[F.expr(expressions[c]).alias(c) for c in codes],

@@ -28,9 +28,15 @@ def write_table(
 
 
 def register_table(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -> DataFrame:
-    """Replace the catalog entry ``name`` by an external table over ``path``."""
+    """Replace the catalog entry ``name`` by an external table over ``path``.
+
+    A dated table gets all its days.
+    """
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    return spark.catalog.createTable(name, path=path, source=fmt)
+    table = spark.catalog.createTable(name, path=path, source=fmt)
+    if any(column.isPartition for column in spark.catalog.listColumns(name)):
+        spark.catalog.recoverPartitions(name)
+    return table
 
 
 def publish_increment(

@@ -66,6 +66,9 @@ def test_flag_run(spark, inputs, trained, tmp_path):
     assert skipped.count() == skipped.distinct().count() > 0
     assert skipped.where("after >= before").isEmpty()
 
+    assert spark.table("flags_db.skipped_claims").count() == skipped.count()
+    assert spark.table("flags_db.increment").count() == published.count()
+
     alerts = spark.table("flags_db.n_report_alerts")
     assert spark.table("flags_db.alerts_before").count() == reports.alerts_before(alerts).count()
     flagged = {r[0] for r in spark.table("flags_db.n_reports").select("asrpt_id").collect()}
