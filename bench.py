@@ -2,7 +2,7 @@
 
 BENCH_SF_DIR  folder of parquet tables (default /root/testdata/sf0.1)
 BENCH_CPUS    local cores (default: all)
-BENCH_RUNS    timed runs per query after one warm-up; the best counts (default 2)
+BENCH_RUNS    timed runs per query after one warm-up; the best counts (default 1)
 """
 
 from __future__ import annotations
@@ -48,7 +48,7 @@ SLOW = {"ml_evaluation"}  # one timed run, no warm-up
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS") or str(os.cpu_count())
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "1"))
     names = sys.argv[1:] or HEADLINE
     spark = (
         tuned(SparkSession.builder.master(f"local[{cpus}]").appName("bench"))

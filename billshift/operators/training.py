@@ -28,10 +28,10 @@ def random_split(
 
 
 def hash_split(
-    df: DataFrame, keys: Sequence[str], train_percent: int = 70
+    df: DataFrame, keys: Sequence[str], train_percent: int = 70, portable: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """Split by key hash: the same rows on each side under any partitioning."""
-    bucket = split_bucket(keys)
+    bucket = split_bucket(keys, portable)
     return df.where(bucket < train_percent), df.where(bucket >= train_percent)
 
 

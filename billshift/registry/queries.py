@@ -236,10 +236,12 @@ def metrics_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    claims = star.claims(spark, sf_dir)
-    side = F.when(split_bucket(star.ROW_KEY) < 70, "train").otherwise("holdout")
-    rows = claims.groupBy(fixed.CLAIM_TYPE, side.alias("side")).agg(
-        F.count("*").alias("n_rows"), F.sum(fixed.AMOUNT).alias("charged")
+    bucket = split_bucket(star.ROW_KEY, portable=True)
+    side = F.when(bucket < 70, "train").otherwise("holdout")
+    rows = (
+        star.claims(spark, sf_dir)
+        .groupBy(fixed.CLAIM_TYPE, side.alias("side"))
+        .agg(F.count("*").alias("n_rows"), F.sum(fixed.AMOUNT).alias("charged"))
     )
     return _rounded(rows, charged=2)
 

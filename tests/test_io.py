@@ -116,3 +116,23 @@ def test_without_the_setting_only_local_sessions_get_a_folder(monkeypatch):
     monkeypatch.setattr(Context, "master", "yarn")
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         writers.shared_folder(Session())
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "orc", "json"])
+def test_lake_formats(spark, tmp_path, fmt):
+    path = str(tmp_path / fmt)
+    writers.write_table(spark.range(4), path, fmt)
+    assert readers.read_table(spark, path, fmt).agg({"id": "sum"}).first()[0] == 6
+
+
+def test_connector_writes_pass_options_and_mode(spark, tmp_path):
+    """Any format stands in for a connector: the options name the place."""
+    appended = {"path": str(tmp_path / "appended")}
+    for _ in range(2):
+        writers.append_increment(spark.range(3), "increments", "parquet", appended)
+    assert spark.read.parquet(appended["path"]).count() == 6
+    replaced = {"path": str(tmp_path / "replaced")}
+    for _ in range(2):
+        assert writers.persist_df(spark.range(3), " T ", "S", "parquet", replaced) == "s.t"
+        writers.send(spark.range(5), "m1", "npisuspect", "s", "parquet", replaced)
+    assert spark.read.parquet(replaced["path"]).count() == 5

@@ -122,14 +122,14 @@ def test_new_model_rule_equals_not_in(spark):
     df.createOrReplaceTempView("history")
     want = spark.sql(
         """
-        WITH b AS (SELECT * FROM history WHERE alert_creat_dt < current_education_date),
-             a AS (SELECT * FROM history WHERE alert_creat_dt > current_education_date),
-             fresh AS (SELECT DISTINCT asrpt_id FROM a
-                       WHERE model_id NOT IN (SELECT model_id FROM b WHERE b.asrpt_id = a.asrpt_id))
-        SELECT asrpt_id, 'New Model' AS testing_flag FROM fresh
-        UNION ALL
-        SELECT asrpt_id, 'N' FROM (SELECT asrpt_id FROM a UNION SELECT asrpt_id FROM b)
-        WHERE asrpt_id NOT IN (SELECT asrpt_id FROM fresh)
+        WITH earlier AS (SELECT * FROM history WHERE alert_creat_dt < current_education_date),
+             later AS (SELECT * FROM history WHERE alert_creat_dt > current_education_date),
+             fresh AS (SELECT DISTINCT asrpt_id FROM later WHERE model_id NOT IN
+                         (SELECT model_id FROM earlier WHERE earlier.asrpt_id = later.asrpt_id))
+        SELECT DISTINCT asrpt_id,
+               CASE WHEN asrpt_id IN (SELECT asrpt_id FROM fresh) THEN 'New Model' ELSE 'N' END
+                 AS testing_flag
+        FROM history WHERE alert_creat_dt <> current_education_date
         """
     )
     assert flags(reports.n_flags(df)) == flags(want)

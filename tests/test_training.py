@@ -113,9 +113,10 @@ def test_metrics_of_constant_labels_and_nothing(spark):
     assert metrics.regression_metrics(flat.limit(0)).first()["n_rows"] == 0
 
 
-def test_hash_split_ignores_partitioning(claims):
-    one = training.hash_split(claims.repartition(2), ["id"])
-    two = training.hash_split(claims.repartition(7, "label"), ["id"])
+@pytest.mark.parametrize("portable", [False, True])
+def test_hash_split_ignores_partitioning(claims, portable):
+    one = training.hash_split(claims.repartition(2), ["id"], portable=portable)
+    two = training.hash_split(claims.repartition(7, "label"), ["id"], portable=portable)
     for a, b in zip(one, two):
         assert {r["id"] for r in a.collect()} == {r["id"] for r in b.collect()}
     assert one[0].count() + one[1].count() == 600
