@@ -159,8 +159,10 @@ def _n_reports(spark: SparkSession, sf_dir: str, results: DataFrame) -> DataFram
 
 
 def _alerts(spark: SparkSession, sf_dir: str, results: DataFrame) -> DataFrame:
+    # Written first: from its true size Spark can tell whether to shuffle the alerts at all.
+    flagged = writers.materialise(_n_reports(spark, sf_dir, results), "n_reports")
     return reports.n_report_alerts(
-        _n_reports(spark, sf_dir, results),
+        flagged,
         star.report_alerts(spark, sf_dir),
         star.alerts(spark, sf_dir),
         star.alert_models(spark, sf_dir),
