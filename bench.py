@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -18,6 +19,7 @@ from pyspark.sql import SparkSession  # noqa: E402
 
 from billshift.registry.queries import QUERIES  # noqa: E402
 from billshift.session import tuned  # noqa: E402
+from billshift.sources.writers import clear_scratch  # noqa: E402
 
 HEADLINE = [
     "increment",
@@ -56,6 +58,7 @@ def main() -> None:
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bench-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -63,7 +66,9 @@ def main() -> None:
     def once(name: str) -> float:
         start = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        return time.perf_counter() - start
+        seconds = time.perf_counter() - start
+        clear_scratch(spark)
+        return seconds
 
     seconds = {}
     for name in names:

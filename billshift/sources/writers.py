@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Mapping
 
@@ -117,23 +116,27 @@ def save_pipeline(root: str, model_id: str, pipeline: Pipeline | PipelineModel)
     return path
 
 
-_local_folders: dict[str, str] = {}
+def shared_folder(spark: SparkSession) -> str:
+    """This application's part of the folder the cluster names in ``spark.checkpoint.dir``."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+    return f"{folder.rstrip('/')}/billshift-{spark.sparkContext.applicationId}"
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``.
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
-    Only a local session may go without it; it gets one temporary folder.
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all that this application wrote to the shared folder.
+
+    Frames built on it can no longer be read: call it once their results are stored.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is not None:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    application = spark.sparkContext.applicationId
-    if application not in _local_folders:
-        _local_folders[application] = tempfile.mkdtemp(prefix="billshift-")
-    return _local_folders[application]
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
@@ -143,6 +146,6 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     its true size for the joins that follow.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -1,5 +1,7 @@
 """Sources and sinks."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import SQLTransformer
@@ -136,3 +138,22 @@ def test_connector_writes_pass_options_and_mode(spark, tmp_path):
         assert writers.persist_df(spark.range(3), " T ", "S", "parquet", replaced) == "s.t"
         writers.send(spark.range(5), "m1", "npisuspect", "s", "parquet", replaced)
     assert spark.read.parquet(replaced["path"]).count() == 5
+
+
+def test_scratch_folder_is_named_by_the_session_and_can_be_cleared(spark):
+    table = writers.materialise(spark.range(3), "numbers")
+    folder = Path(writers.shared_folder(spark))
+    assert table.count() == 3 and any(folder.iterdir())
+    writers.clear_scratch(spark)
+    assert not folder.exists()
+
+
+def test_unset_scratch_folder_is_an_error():
+    class Unset:
+        class conf:
+            @staticmethod
+            def get(key, default):
+                return default
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        writers.shared_folder(Unset)

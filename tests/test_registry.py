@@ -3,15 +3,17 @@
 import pytest
 from compare import normalised, spark_rows, sql_rows
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from billshift.registry.oracle import ORACLE
+from billshift.registry.queries import QUERIES
 
 WITHOUT_SQL = {"ml_evaluation", "ml_train_score"}
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_agrees_with_sql(spark, sf_dir, name):
-    got = spark_rows(queries()[name](spark, sf_dir))
-    want = normalised(*sql_rows(sf_dir, oracle_sql()[name]))
+    got = spark_rows(QUERIES[name](spark, sf_dir))
+    want = normalised(*sql_rows(sf_dir, ORACLE[name]))
     assert got[0] == want[0]
     assert got[1] == want[1]
     # At this scale every N report has a new model; the larger check covers the rest.
@@ -19,8 +21,8 @@ def test_agrees_with_sql(spark, sf_dir, name):
 
 
 def test_only_fitted_models_lack_sql():
-    assert set(queries()) - set(oracle_sql()) == WITHOUT_SQL
-    assert set(oracle_sql()) <= set(queries())
+    assert set(QUERIES) - set(ORACLE) == WITHOUT_SQL
+    assert set(ORACLE) <= set(QUERIES)
 
 
 def test_entry_flags_every_report(spark, sf_dir):
