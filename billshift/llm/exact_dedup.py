@@ -122,12 +122,13 @@ def exact_duplicates(
     else:
         hits_state = materialise(latest_states(spark, states).where("n > 1"), "exact-hits")
 
-    # Whole texts of hits only, each beside its keeper's.
+    # Whole texts of hits only, each beside its keeper's. The sides of these joins grow
+    # with the corpus, so both are shuffled at every size, never broadcast.
     texts = keyed.select("digest", "doc_id", "file", "at", "text")
-    hits = materialise(texts.join(hits_state, "digest"), "exact-hit-texts")
+    hits = materialise(texts.join(hits_state.hint("merge"), "digest"), "exact-hit-texts")
     mine = F.struct("doc_id", "file", "at")
     keepers = hits.where(mine.eqNullSafe(F.col("keeper"))).select("digest", F.col("text").alias("kept_text"))
-    checked = hits.join(keepers, "digest").select(
+    checked = hits.join(keepers.hint("merge"), "digest").select(
         "digest", "doc_id", "file", "at",
         # Null for the bytes of the keeper, else (a collision) the differing text itself.
         F.when(F.col("text") != F.col("kept_text"), F.col("text")).alias("other"),
@@ -137,11 +138,11 @@ def exact_duplicates(
         F.max(F.struct("doc_id", "file", "at")).alias("best"), F.count("*").alias("group_size")
     )
     same = checked["digest"].eqNullSafe(classes["digest"]) & checked["other"].eqNullSafe(classes["other"])
-    decided = checked.join(classes, same).select(
+    decided = checked.join(classes.hint("merge"), same).select(
         checked["file"], checked["at"], "best", "group_size"
     )
     everyone = spark.read.schema(f"{ARRIVAL}, text_sha256 string").parquet(arrivals)
-    joined = everyone.join(decided, ["file", "at"], "left")
+    joined = everyone.join(decided.hint("merge"), ["file", "at"], "left")
     kept = F.col("best").isNull() | F.struct("doc_id", "file", "at").eqNullSafe(F.col("best"))
     return joined.select(
         "doc_id",
@@ -168,4 +169,4 @@ def drop_duplicates(docs: DataFrame) -> DataFrame:
     gone = gone.withColumnsRenamed({"file": "_gone_file", "at": "_gone_at"})
     rows = docs.select("*", *[p.alias(f"_doc{i}") for i, p in enumerate(_place())])
     same = (F.col("_doc0") == F.col("_gone_file")) & (F.col("_doc1") == F.col("_gone_at"))
-    return rows.join(gone, same, "left_anti").select(*docs.columns)
+    return rows.join(gone.hint("merge"), same, "left_anti").select(*docs.columns)
