@@ -25,6 +25,9 @@ STATE_SETTINGS = {
     # One memory bound for all state stores of an executor, instead of one for each.
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
+    "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "2",
+    # Between batches the state rests on disk; executors hold no open store of an ended run.
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
     # A batch writes what changed; snapshots follow in the background.
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
