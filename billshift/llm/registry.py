@@ -1,6 +1,6 @@
 """The subpackage's queries and SQL, for the entry module."""
 
-from billshift.llm import queries_rows
+from billshift.llm import queries_rows, queries_texts
 
-LLM_QUERIES = {**queries_rows.QUERIES}
+LLM_QUERIES = {**queries_rows.QUERIES, **queries_texts.QUERIES}
 LLM_ORACLE = {**queries_rows.ORACLE}
