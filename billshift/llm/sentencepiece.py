@@ -51,7 +51,14 @@ class Model:
         if self._ready:
             return
         self.ids = {p: i for i, p in enumerate(self.pieces) if self.plain[i]}
-        self.longest = max(map(len, self.ids))
+        self.rank = {p: -self.scores[i] for p, i in self.ids.items()}
+        self.never = np.inf
+        # Lengths of the pieces that end with two given characters, longest first.
+        ending: dict[str, set[int]] = {}
+        for p in self.ids:
+            if len(p) > 1:
+                ending.setdefault(p[-2:], set()).add(len(p))
+        self.lengths = {k: tuple(sorted(v, reverse=True)) for k, v in ending.items()}
         self.lowest = min(self.scores[i] for i in self.ids.values())
         inner = any(re.search(f"[^{MARK}]{MARK}", p) for p in self.ids)
         breaks = "".join(c for c in "\n\t\r" if not any(c in p for p in self.ids))
@@ -66,6 +73,7 @@ class Model:
         self._bytes = [self._text(i) for i in range(len(self.pieces))]
         sizes = np.array([len(b) for b in self._bytes], np.int64)
         self.byte_table = np.frombuffer(b"".join(self._bytes), np.uint8)
+        self.words = _Words(self)
         self.byte_sizes, self.byte_starts = sizes, np.concatenate([[0], np.cumsum(sizes)[:-1]])
         self._ready = True
 
@@ -79,16 +87,20 @@ class Model:
 
     def merges(self, text: str) -> list[str]:
         """The pieces that merging by score leaves of a short text."""
-        parts = list(text)
-        while len(parts) > 1:
-            best, where = None, -1
-            for i in range(len(parts) - 1):
-                found = self.ids.get(parts[i] + parts[i + 1])
-                if found is not None and (best is None or self.scores[found] > best):
-                    best, where = self.scores[found], i
-            if best is None:
+        parts, rank = list(text), self.rank.get
+        never = self.never
+        ranks = [rank(a + b, never) for a, b in zip(parts, parts[1:])]
+        while ranks:
+            best = min(ranks)
+            if best == never:
                 break
-            parts[where : where + 2] = [parts[where] + parts[where + 1]]
+            i = ranks.index(best)
+            parts[i] += parts.pop(i + 1)
+            ranks.pop(i)
+            if i < len(ranks):
+                ranks[i] = rank(parts[i] + parts[i + 1], never)
+            if i:
+                ranks[i - 1] = rank(parts[i - 1] + parts[i], never)
         return parts
 
     def stays(self, piece: str) -> bool:
@@ -106,23 +118,44 @@ class Model:
             self.beside[key] = self.merges(left + right) == [left, right]
         return self.beside[key]
 
-    def step(self, word: str, end: int, last: list[int], score: list[float]) -> tuple[int, float]:
-        """Length of the last piece of ``word[:end]`` and the prefix's score."""
-        best, best_score = 0, -np.inf
-        for length in range(min(end, self.longest), 0, -1):
-            start = end - length
-            piece = word[start:end]
-            found = self.ids.get(piece)
-            if self.unigram:
-                if found is None and length > 1:
+    def forward_unigram(self, word: str, start: int, last: list[int], score: list[float]) -> None:
+        """Extend the forward state from ``word[:start]`` to the whole word."""
+        for end in range(start + 1, len(word) + 1):
+            best = self.lowest - UNKNOWN_PENALTY
+            found = self.ids.get(word[end - 1])
+            length, value = 1, score[end - 1] + (best if found is None else self.scores[found])
+            for n in self.lengths.get(word[end - 2 : end], ()) if end > 1 else ():
+                found = self.ids.get(word[end - n : end]) if n <= end else None
+                if found is not None and score[end - n] + self.scores[found] > value:
+                    length, value = n, score[end - n] + self.scores[found]
+            last.append(length)
+            score.append(value)
+
+    def forward_bpe(self, word: str, start: int, last: list[int], score: list[float]) -> None:
+        """The same for merges, where just one last piece is possible; scores stay 0."""
+        ids, lengths, stays, beside = self.ids, self.lengths, self.alone, self.beside
+        for end in range(start + 1, len(word) + 1):
+            length = 1
+            for n in lengths.get(word[end - 2 : end], ()) if end > 1 else ():
+                at = end - n
+                if at < 0:
                     continue
-                own = self.scores[found] if found is not None else self.lowest - UNKNOWN_PENALTY
-                if score[start] + own > best_score:
-                    best, best_score = length, score[start] + own
-            elif length == 1 or (found is not None and self.stays(piece)):
-                if start == 0 or self.apart(word[start - last[start] : start], piece):
-                    return length, 0.0
-        return best, best_score
+                piece = word[at:end]
+                if piece not in ids:
+                    continue
+                alone = stays.get(piece)
+                if not (self.stays(piece) if alone is None else alone):
+                    continue
+                if at == 0:
+                    length = n
+                    break
+                left = word[at - last[at] : at]
+                apart = beside.get((left, piece))
+                if self.apart(left, piece) if apart is None else apart:
+                    length = n
+                    break
+            last.append(length)
+            score.append(0.0)
 
     def emit(self, piece: str) -> list[int]:
         found = self.ids.get(piece)
@@ -137,6 +170,7 @@ class Model:
         self.prepare()
         out = {}
         path, last, score = "", [0], [0.0]
+        forward = self.forward_unigram if self.unigram else self.forward_bpe
         for word in sorted(words):
             shared = 0
             for a, b in zip(path, word):
@@ -144,10 +178,7 @@ class Model:
                     break
                 shared += 1
             del last[shared + 1 :], score[shared + 1 :]
-            for end in range(shared + 1, len(word) + 1):
-                length, value = self.step(word, end, last, score)
-                last.append(length)
-                score.append(value)
+            forward(word, shared, last, score)
             path = word
             parts, end = [], len(word)
             while end:
@@ -236,7 +267,7 @@ def encode(docs: DataFrame, model: Model) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         m.prepare()
-        words = _Words(m)
+        words = m.words  # a worker keeps them from task to task
         for batch in batches:
             for part in text_slices(batch):
                 column = part.column("text")
