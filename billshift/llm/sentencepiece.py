@@ -17,6 +17,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -157,34 +158,31 @@ class Model:
             last.append(length)
             score.append(0.0)
 
-    def emit(self, piece: str) -> list[int]:
-        found = self.ids.get(piece)
-        if found is not None:
-            return [found]
+    def fallback(self, char: str) -> tuple[int, ...]:
+        """Ids of a character that is no piece."""
         if self.byte_ids:
-            return [self.byte_ids[b] for b in piece.encode()]
-        return [self.unknown]
+            return tuple(self.byte_ids[b] for b in char.encode())
+        return (self.unknown,)
 
-    def encode_words(self, words: list[str]) -> dict[str, list[int]]:
+    def encode_words(self, words: list[str]) -> dict[str, tuple[int, ...]]:
         """Ids of distinct words, in one depth-first pass over their trie."""
         self.prepare()
-        out = {}
-        path, last, score = "", [0], [0.0]
         forward = self.forward_unigram if self.unigram else self.forward_bpe
+        out = {}
+        # By prefix length: length of the last piece, score, ids.
+        path, last, score, ids = "", [0], [0.0], [()]
         for word in sorted(words):
-            shared = 0
-            for a, b in zip(path, word):
-                if a != b:
-                    break
-                shared += 1
-            del last[shared + 1 :], score[shared + 1 :]
+            shared = len(path)
+            while not word.startswith(path[:shared]):
+                shared -= 1
+            del last[shared + 1 :], score[shared + 1 :], ids[shared + 1 :]
             forward(word, shared, last, score)
+            for end in range(shared + 1, len(word) + 1):
+                start = end - last[end]
+                found = self.ids.get(word[start:end])
+                ids.append(ids[start] + ((found,) if found is not None else self.fallback(word[start])))
             path = word
-            parts, end = [], len(word)
-            while end:
-                parts.append(word[end - last[end] : end])
-                end -= last[end]
-            out[word] = [i for piece in reversed(parts) for i in self.emit(piece)]
+            out[word] = ids[-1]
         return out
 
 
@@ -221,15 +219,18 @@ class _Words:
             self.clear()
         split = self.model.split.findall
         per_text = [split(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
-        fresh = {w for words in per_text for w in words}.difference(self.number)
+        words = list(chain.from_iterable(per_text))
+        codes = list(map(self.number.get, words))
+        fresh = {w for w, code in zip(words, codes) if code is None}
         if fresh:
             ids = self.model.encode_words(list(fresh))
             base = len(self.number)
             self.number.update(zip(ids, range(base, base + len(ids))))
             self.sizes = np.concatenate([self.sizes, [len(x) for x in ids.values()]]).astype(np.int64)
-            self.flat = np.concatenate([self.flat, [i for x in ids.values() for i in x]]).astype(np.int32)
-        number = self.number
-        codes = np.array([number[w] for words in per_text for w in words], np.int64)
+            new = np.fromiter(chain.from_iterable(ids.values()), np.int32)
+            self.flat = np.concatenate([self.flat, new])
+            codes = list(map(self.number.get, words))
+        codes = np.array(codes, np.int64)
         starts = np.concatenate([[0], np.cumsum(self.sizes)])[:-1]
         flat = self.flat[ranges(starts[codes], self.sizes[codes])]
         owner = np.repeat(np.arange(len(texts)), [len(w) for w in per_text])
