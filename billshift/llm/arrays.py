@@ -16,8 +16,10 @@ import pyarrow.compute as pc
 SLICE_BYTES = 4 << 20
 
 
-def text_slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The batch in slices of bounded text size, null texts made empty."""
+def text_slices(
+    batch: pa.RecordBatch, column: str = "text", size: int = SLICE_BYTES, rows: int = 1 << 20
+) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of bounded text size and row number, null texts made empty."""
     index = batch.schema.get_field_index(column)
     texts = pc.fill_null(batch.column(index).cast(pa.string()), "")
     batch = batch.set_column(index, column, texts)
@@ -27,7 +29,8 @@ def text_slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.Reco
     start = 0
     while start < batch.num_rows:
         before = ends[start - 1] if start else 0
-        stop = max(start + 1, int(np.searchsorted(ends, before + SLICE_BYTES, side="right")))
+        stop = max(start + 1, int(np.searchsorted(ends, before + size, side="right")))
+        stop = min(stop, start + rows)
         yield batch.slice(start, stop - start)
         start = stop
 
@@ -68,3 +71,38 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         return np.zeros(0, np.int64)
     shift = np.repeat(starts - np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths)
     return shift + np.arange(total)
+
+
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_BYTE = mix(np.arange(1, 257, dtype=np.uint64))
+_PRIME = np.uint64(0x100000001B3)
+
+
+def word_hashes(texts: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words ``[^\\x20\\x09-\\x0D]+`` of all texts, and the number of each text.
+
+    The separators are ASCII, so UTF-8 bytes do as well as characters. ``lower``
+    folds A-Z.
+    """
+    data, offsets = utf8(texts)
+    space = _SPACE[data]
+    begin = ~space
+    begin[1:] &= space[:-1]
+    heads = offsets[:-1][np.diff(offsets) > 0]
+    begin[heads] = ~space[heads]
+    starts = np.flatnonzero(begin)
+    if len(starts) == 0:
+        return np.zeros(0, np.uint64), np.zeros(len(texts), np.int64)
+    letters = data[~space]
+    if lower:
+        letters = _LOWER[letters]
+    # Places in the text without separators.
+    firsts = starts - np.cumsum(space)[starts]
+    lengths = np.diff(np.append(firsts, len(letters)))
+    powers = np.cumprod(np.full(int(lengths.max()), _PRIME, np.uint64))
+    values = _BYTE[letters] * powers[np.arange(len(letters)) - np.repeat(firsts, lengths)]
+    counts = np.diff(np.searchsorted(starts, offsets))
+    return mix(np.add.reduceat(values, firsts)), counts
