@@ -37,6 +37,8 @@ def text_slices(
 
 def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a string array, and the offsets of its texts in them."""
+    if len(texts) == 0:
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
     offsets = np.frombuffer(texts.buffers()[1], dtype=np.int32)
     offsets = offsets[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
     data = texts.buffers()[2]

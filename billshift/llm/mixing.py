@@ -204,5 +204,5 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
         & rows["source"].eqNullSafe(taken["_source"])
         & (rows["_text_hash"] == taken["_hash"])
     )
-    repeated = rows.join(taken, same).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times").cast("int"))))
+    repeated = rows.join(taken.hint("merge"), same).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times").cast("int"))))
     return repeated.select(*names)
