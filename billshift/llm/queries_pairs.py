@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from billshift.llm import jaccard_join
+from billshift.llm import jaccard_join, substring_dedup
 from billshift.llm.queries_rows import documents
 
 
@@ -12,5 +12,9 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(documents(spark, sf_dir)).drop("set_id")
 
 
-QUERIES = {"op1_jaccard_join": op1_jaccard_join}
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_passages(documents(spark, sf_dir)).drop("seq_id")
+
+
+QUERIES = {"op1_jaccard_join": op1_jaccard_join, "op3_substring_dedup": op3_substring_dedup}
 ORACLE: dict[str, str] = {}
