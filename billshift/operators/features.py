@@ -74,27 +74,21 @@ def code_levels(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def fit_features(df: DataFrame, kind: str, max_codes: int = 5_000_000) -> list[Transformer]:
+def fit_features(df: DataFrame, kind: str) -> list[Transformer]:
     """Fitted indexers, encoder and assembler of one claim type.
 
     ``StringIndexer.fit`` merges every task's counts in a single task; here they
     are grouped across the cluster and only the vocabulary, which is part of the
-    model, comes to the driver. Its size is checked first. Columns with a single
+    model, comes to the driver, as one ordered list per column. Columns with a single
     level carry no information and cannot be one-hot encoded: they stay indexed,
     so their null and unseen codes still skip rows, and leave the vector.
     """
     columns = stage_columns(kind)
-    levels = code_levels(df, columns).persist()
-    try:
-        n_codes = levels.count()
-        if n_codes > max_codes:
-            raise ValueError(f"{n_codes} distinct codes exceed max_codes={max_codes}")
-        vocabulary: list[list[str]] = [[] for _ in columns]
-        ordered = levels.orderBy("position", F.desc("n_rows"), "code").select("position", "code")
-        for position, code in ordered.toLocalIterator():
-            vocabulary[position].append(code)
-    finally:
-        levels.unpersist()
+    entry = F.struct((-F.col("n_rows")).alias("order"), "code")
+    ordered = F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["code"])
+    lists = code_levels(df, columns).groupBy("position").agg(ordered.alias("labels"))
+    found = {row["position"]: row["labels"] for row in lists.collect()}
+    vocabulary = [found.get(i, []) for i in range(len(columns))]
     empty = [c for c, labels in zip(columns, vocabulary) if not labels]
     if empty:
         raise ValueError(f"no claim has a value in {empty} and in every column before")

@@ -56,13 +56,13 @@ def fit(df: DataFrame, kind: str, aggregation_depth: int = 2) -> PipelineModel:
     """Fit the pipeline of one claim type; claims without a label are left out.
 
     Each task of the regression sends a buffer as large as the model's matrix or
-    gradient, so partitions are merged (without a shuffle) down to a few per core.
+    gradient; ``aggregation_depth`` merges them in steps. The number of tasks follows
+    the input, not the cores that happen to be registered.
     """
     labelled = df.where(F.col("label").isNotNull())
     stages = fit_features(labelled, kind)
     features = PipelineModel(stages).transform(labelled).select("features", "label")
-    tasks = 3 * df.sparkSession.sparkContext.defaultParallelism
-    regressor = charge_regressor(aggregation_depth).fit(features.coalesce(tasks))
+    regressor = charge_regressor(aggregation_depth).fit(features)
     return PipelineModel([*stages, regressor])
 
 

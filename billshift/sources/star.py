@@ -223,22 +223,22 @@ def report_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An alert per urgent order; its model is the order's price band."""
-    return (
-        table(spark, sf_dir, "orders")
-        .where(F.col("o_orderpriority") == "1-URGENT")
-        .select(
-            F.col("o_orderkey").alias(fixed.ALERT),
-            F.floor(F.col("o_totalprice") / 20000).cast("bigint").alias(fixed.MODEL),
-            F.col("o_orderdate").cast("date").alias(fixed.ALERT_DATE),
-        )
+    """An alert per order; its model is the order's price band and priority."""
+    band, priority = F.floor(F.col("o_totalprice") / 20000), F.left("o_orderpriority", F.lit(1)).cast("int")
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias(fixed.ALERT),
+        (band * 5 + priority - 1).cast("bigint").alias(fixed.MODEL),
+        F.col("o_orderdate").cast("date").alias(fixed.ALERT_DATE),
     )
 
 
 def alert_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five models per nation, one for each priority."""
     region = F.col("n_regionkey")
-    return table(spark, sf_dir, "nation").select(
-        F.col("n_nationkey").cast("bigint").alias(fixed.MODEL),
+    priority = F.explode(F.sequence(F.lit(0), F.lit(4)))
+    nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey", priority.alias("p"))
+    return nations.select(
+        (F.col("n_nationkey") * 5 + F.col("p")).cast("bigint").alias(fixed.MODEL),
         F.when(region <= 2, "Active")
         .when(region == 3, "Inactive")
         .otherwise("Retired")

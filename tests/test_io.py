@@ -102,24 +102,6 @@ def test_materialised_tables_live_in_the_shared_folder(spark):
     assert spark.conf.get("spark.checkpoint.dir") in df.inputFiles()[0]
 
 
-def test_without_the_setting_only_local_sessions_get_a_folder(monkeypatch):
-    class Conf:
-        def get(self, key, default):
-            return default
-
-    class Context:
-        master, applicationId = "local[2]", "app-without-setting"
-
-    class Session:
-        conf, sparkContext = Conf(), Context()
-
-    folder = writers.shared_folder(Session())
-    assert folder == writers.shared_folder(Session())
-    monkeypatch.setattr(Context, "master", "yarn")
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        writers.shared_folder(Session())
-
-
 @pytest.mark.parametrize("fmt", ["parquet", "orc", "json"])
 def test_lake_formats(spark, tmp_path, fmt):
     path = str(tmp_path / fmt)

@@ -87,11 +87,6 @@ def test_constant_column_and_missing_labels(claims):
     assert training.score(model, df.where("id = 1").withColumn(COLUMNS[3], F.lit("new"))).isEmpty()
 
 
-def test_vocabulary_size_is_checked(claims):
-    with pytest.raises(ValueError, match="max_codes"):
-        features.fit_features(claims, "B", max_codes=5)
-
-
 def test_unfitted_pipeline_fits_too(claims):
     pipeline = training.training_pipeline("B")
     assert len(pipeline.getStages()) == 4
