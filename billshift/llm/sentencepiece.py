@@ -29,7 +29,7 @@ from billshift.llm.arrays import ranges, text_slices, utf8
 MARK = "▁"
 #: Entries after which a task's tables of words and of piece pairs start anew. They
 #: only save work.
-CACHE = 400_000
+CACHE = 650_000
 #: What a unigram model subtracts from its lowest score for an unknown character.
 UNKNOWN_PENALTY = 10.0
 
