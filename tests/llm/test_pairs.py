@@ -132,3 +132,44 @@ def test_pipeline(spark, sf_dir):
     assert len({texts[i] for i in kept}) == len(kept)
     label, _ = brute_components({i: texts[i] for i in kept}, sets_of)
     assert all(i == c for i, c in label.items())
+
+
+def test_window_keys_are_those_of_the_tree():
+    rng = np.random.default_rng(5)
+    # Few different values in one sequence: equal minima; a short one has no window.
+    sequences = [rng.integers(1, top, n).astype(np.uint64) for top, n in ((1 << 62, 300), (9, 200), (1 << 62, 45), (2, 90))]
+
+    def nodes(values, left, right):
+        if right - left + 1 >= substring_dedup.WIDTH:
+            least = min(values[left : right + 1])
+            ties = [c for c in range(left, right + 1) if values[c] == least]
+            yield from ((left, c, right) for c in ties)
+            for a, b in zip([left - 1, *ties], [*ties, right + 1]):
+                yield from nodes(values, a + 1, b - 1)
+
+    sizes = np.array([len(s) for s in sequences])
+    keys, owners, places = substring_dedup.window_keys(np.concatenate(sequences), sizes)
+    run = substring_dedup.RUN
+    for k, s in enumerate(sequences):
+        runs = set()
+        for f in range(substring_dedup.HASHES):
+            salt = np.uint64((f + 1) * 0x9E3779B97F4A7C15 % (1 << 64))
+            for left, c, right in nodes(substring_dedup.mix(s ^ salt).tolist(), 0, len(s) - 1):
+                runs |= {tuple(s[c : c + run])} if c + run - 1 <= right else set()
+                runs |= {tuple(s[c - run + 1 : c + 1])} if c - run + 1 >= left else set()
+        own = owners == k
+        assert own.sum() == len(runs) == len(set(keys[own].tolist()))
+        assert all(0 <= p < len(s) for p in places[own])
+
+
+def test_one_changed_word_is_met():
+    rng = np.random.default_rng(6)
+    met = 0
+    for _ in range(200):
+        words = rng.integers(1, 1 << 62, (2, 150))
+        words[1, 60:110] = words[0, 30:80]
+        words[1, rng.integers(60, 110)] = 0
+        shingles = [substring_dedup.mix(sum(w[i : i + 146].astype(np.uint64) << np.uint64(i) for i in range(5))) for w in words]
+        keys, owners, _ = substring_dedup.window_keys(np.concatenate(shingles), np.array([146, 146]))
+        met += len(np.intersect1d(keys[owners == 0], keys[owners == 1])) > 0
+    assert met >= 180
