@@ -32,6 +32,7 @@ MARK = "▁"
 CACHE = 650_000
 #: What a unigram model subtracts from its lowest score for an unknown character.
 UNKNOWN_PENALTY = 10.0
+_TWO = (2,)
 
 
 @dataclass
@@ -54,11 +55,12 @@ class Model:
         self.ids = {p: i for i, p in enumerate(self.pieces) if self.plain[i]}
         self.rank = {p: -self.scores[i] for p, i in self.ids.items()}
         self.never = np.inf
-        # Lengths of the pieces that end with two given characters, longest first.
+        # Lengths of the pieces that end with three given characters, longest first; behind
+        # any other three only a piece of two can end.
         ending: dict[str, set[int]] = {}
         for p in self.ids:
-            if len(p) > 1:
-                ending.setdefault(p[-2:], set()).add(len(p))
+            if len(p) > 2:
+                ending.setdefault(p[-3:], {2} if p[-2:] in self.ids else set()).add(len(p))
         self.lengths = {k: tuple(sorted(v, reverse=True)) for k, v in ending.items()}
         self.lowest = min(self.scores[i] for i in self.ids.values())
         inner = any(re.search(f"[^{MARK}]{MARK}", p) for p in self.ids)
@@ -69,7 +71,8 @@ class Model:
         self.split = re.compile(
             "(?s).+" if inner else f"{MARK}+[^{MARK}{stop}]*|[^{MARK}{stop}]+" + (f"|[{stop}]" if stop else "")
         )
-        self.alone: dict[str, bool] = {}
+        #: Pieces, and whether each encodes itself once that has been asked.
+        self.alone: dict[str, bool | None] = dict.fromkeys(self.ids)
         self.beside: dict[tuple[str, str], bool] = {}
         self._bytes = [self._text(i) for i in range(len(self.pieces))]
         sizes = np.array([len(b) for b in self._bytes], np.int64)
@@ -106,7 +109,7 @@ class Model:
 
     def stays(self, piece: str) -> bool:
         """Whether the piece encodes itself."""
-        if piece not in self.alone:
+        if self.alone[piece] is None:
             self.alone[piece] = self.merges(piece) == [piece]
         return self.alone[piece]
 
@@ -125,7 +128,7 @@ class Model:
             best = self.lowest - UNKNOWN_PENALTY
             found = self.ids.get(word[end - 1])
             length, value = 1, score[end - 1] + (best if found is None else self.scores[found])
-            for n in self.lengths.get(word[end - 2 : end], ()) if end > 1 else ():
+            for n in self.lengths.get(word[end - 3 : end], _TWO):
                 found = self.ids.get(word[end - n : end]) if n <= end else None
                 if found is not None and score[end - n] + self.scores[found] > value:
                     length, value = n, score[end - n] + self.scores[found]
@@ -134,18 +137,16 @@ class Model:
 
     def forward_bpe(self, word: str, start: int, last: list[int], score: list[float]) -> None:
         """The same for merges, where just one last piece is possible; scores stay 0."""
-        ids, lengths, stays, beside = self.ids, self.lengths, self.alone, self.beside
+        lengths, stays, beside = self.lengths, self.alone, self.beside
         for end in range(start + 1, len(word) + 1):
             length = 1
-            for n in lengths.get(word[end - 2 : end], ()) if end > 1 else ():
+            for n in lengths.get(word[end - 3 : end], _TWO):
                 at = end - n
                 if at < 0:
                     continue
                 piece = word[at:end]
-                if piece not in ids:
-                    continue
-                alone = stays.get(piece)
-                if not (self.stays(piece) if alone is None else alone):
+                alone = stays.get(piece, False)
+                if alone is False or alone is None and not self.stays(piece):
                     continue
                 if at == 0:
                     length = n
@@ -169,7 +170,7 @@ class Model:
         self.prepare()
         forward = self.forward_unigram if self.unigram else self.forward_bpe
         out = {}
-        # By prefix length: length of the last piece, score, ids.
+        # By prefix length: length of the last piece, score, ids (where a word has asked for them).
         path, last, score, ids = "", [0], [0.0], [()]
         for word in sorted(words):
             shared = len(path)
@@ -177,10 +178,16 @@ class Model:
                 shared -= 1
             del last[shared + 1 :], score[shared + 1 :], ids[shared + 1 :]
             forward(word, shared, last, score)
-            for end in range(shared + 1, len(word) + 1):
+            ids += [None] * (len(word) - shared)
+            # Back along the last pieces to a prefix that has its ids, then forward again.
+            ends, end = [], len(word)
+            while ids[end] is None:
+                ends.append(end)
+                end -= last[end]
+            for end in reversed(ends):
                 start = end - last[end]
                 found = self.ids.get(word[start:end])
-                ids.append(ids[start] + ((found,) if found is not None else self.fallback(word[start])))
+                ids[end] = ids[start] + ((found,) if found is not None else self.fallback(word[start]))
             path = word
             out[word] = ids[-1]
         return out
