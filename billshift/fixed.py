@@ -29,6 +29,8 @@ CONFIG_VALUE = "CONFIG_FLD_VAL"
 # Claim types, periods, the token for blank codes.
 CLAIM_TYPES = ["A", "B", "DME"]
 PERIODS = ["before", "after"]
+#: Where an audit counts claims of any other type.
+OTHER_TYPE = "other"
 BLANK_TOKEN = "EMPTY"
 
 # Thresholds.

@@ -79,7 +79,8 @@ def provider_profile(
 
     ``scored`` is the frame of scored claims, or a boolean column of ``raw``. The
     result, one row per provider, feeds both the effect test and the audit, so
-    claims are scored once.
+    claims are scored once. Claims of other or no type are counted under ``other``,
+    claims without a provider in a row of their own.
     """
     keys = [fixed.PROVIDER, fixed.CLAIM_TYPE, "period"]
     measures = [fixed.AMOUNT, "prediction"]
@@ -103,20 +104,21 @@ def provider_profile(
             )
         )
     counts = []
-    for kind in types:
+    cells = {kind: F.col(fixed.CLAIM_TYPE) == kind for kind in types}
+    cells[fixed.OTHER_TYPE] = ~F.coalesce(F.col(fixed.CLAIM_TYPE).isin(*types), F.lit(False))
+    for kind, of_kind in cells.items():
         for period in fixed.PERIODS:
-            here = (F.col(fixed.CLAIM_TYPE) == kind) & (F.col("period") == period)
+            here = of_kind & (F.col("period") == period)
             counts += [
                 F.count_if(here & F.col("is_raw")).alias(f"raw_{kind}_{period}"),
                 F.count_if(here & F.col("is_scored")).alias(f"scored_{kind}_{period}"),
             ]
-    known = rows.where(F.col(fixed.PROVIDER).isNotNull())
-    return known.groupBy(fixed.PROVIDER).agg(*_period_stats(F.col("is_scored")), *counts)
+    return rows.groupBy(fixed.PROVIDER).agg(*_period_stats(F.col("is_scored")), *counts)
 
 
 def profile_stats(profile: DataFrame) -> DataFrame:
     """``before_after`` from a provider profile."""
-    return _both_periods(profile)
+    return _both_periods(profile.where(F.col(fixed.PROVIDER).isNotNull()))
 
 
 def testable(stats: DataFrame, min_n: int = fixed.MIN_CLAIMS) -> DataFrame:

@@ -70,13 +70,23 @@ def n_report_alerts(
 ) -> DataFrame:
     """Alerts of the N reports that come from live models, each once.
 
-    The flagged reports cut the association table down before alerts are attached.
+    The flagged reports cut the association table down, and its repeats go, before
+    alerts are attached. The shuffle by report and alert spreads a report with very many
+    alerts; as the grouping does not reuse the join's partitions, adaptive execution may
+    split that join in any session. No grouping follows the last joins, for the same reason.
     """
     live = models.where(F.col(fixed.MODEL_STATUS).isin(*statuses)).select(fixed.MODEL)
+    links = (
+        report_alerts.select(fixed.REPORT, fixed.ALERT)
+        .join(flagged_reports, fixed.REPORT)
+        .select(fixed.REPORT, fixed.EDUCATION_DATE, "flag", fixed.SUBJECT, fixed.ALERT)
+        .repartition(fixed.REPORT, fixed.ALERT)
+        .distinct()
+    )
+    known = alerts.select(fixed.ALERT, fixed.ALERT_DATE, fixed.MODEL).distinct()
     return (
-        report_alerts.join(flagged_reports, fixed.REPORT)
-        .join(alerts, fixed.ALERT)
-        .join(live, fixed.MODEL)
+        links.join(known, fixed.ALERT)
+        .join(live, fixed.MODEL, "left_semi")
         .select(
             fixed.REPORT,
             fixed.EDUCATION_DATE,
@@ -86,7 +96,6 @@ def n_report_alerts(
             fixed.MODEL,
             fixed.ALERT,
         )
-        .distinct()
     )
 
 
@@ -148,6 +157,11 @@ def all_flags(alerts: DataFrame, status: DataFrame) -> DataFrame:
     return n_flags(alerts).unionByName(education_not_n(status))
 
 
+def sorted_flags(flags: DataFrame) -> DataFrame:
+    """Flags in the order they are shown in; storing them does not keep it."""
+    return flags.orderBy(fixed.REPORT, "testing_flag")
+
+
 def increment(
     report_list: DataFrame,
     flags: DataFrame,

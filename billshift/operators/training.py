@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from datetime import datetime, timezone
 
 from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import StringIndexerModel
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -71,6 +72,28 @@ def score(model: PipelineModel, df: DataFrame) -> DataFrame:
     return model.transform(df.drop("prediction"))
 
 
+def score_marked(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """Every claim, with ``scored``; ``prediction`` is null where a code is null or unseen.
+
+    The indexers keep such codes at an index beyond their levels. Those claims pass the
+    later stages with first levels instead, so one scan serves scored and skipped alike.
+    """
+    indexers = [s for s in model.stages if isinstance(s, StringIndexerModel)]
+    frame, known, indexed = df.drop("prediction", "scored"), F.lit(True), []
+    for stage in indexers:
+        outputs = stage.getOutputCols() if stage.isSet("outputCols") else [stage.getOutputCol()]
+        frame = stage.copy({stage.handleInvalid: "keep"}).transform(frame)
+        for output, labels in zip(outputs, stage.labelsArray):
+            known = known & (F.col(output) < len(labels))
+        indexed += outputs
+    frame = frame.withColumn("scored", known)
+    frame = frame.withColumns({c: F.when(F.col("scored"), F.col(c)).otherwise(0.0) for c in indexed})
+    for stage in model.stages:
+        if not isinstance(stage, StringIndexerModel):
+            frame = stage.transform(frame)
+    return frame.withColumn("prediction", F.when(F.col("scored"), F.col("prediction")))
+
+
 def evaluate(model: PipelineModel, holdout: DataFrame) -> DataFrame:
     return regression_metrics(score(model, holdout))
 
@@ -78,12 +101,14 @@ def evaluate(model: PipelineModel, holdout: DataFrame) -> DataFrame:
 def evaluation_row(
     metrics: DataFrame, model_name: str, train_ts: str, train_seconds: float, train_size: int
 ) -> DataFrame:
+    """The stored row. ``n_rows``: hold-out claims the model could score."""
     return metrics.select(
         F.lit(model_name).alias("model_name"),
         F.lit(fixed.ALGORITHM).alias("algorithm"),
         F.lit(train_ts).alias("train_ts"),
         F.lit(float(train_seconds)).alias("train_time"),
         F.lit(train_size).cast("bigint").alias("train_size"),
+        F.col("n_rows").cast("bigint").alias("n_rows"),
         "rmse",
         "mse",
         "r2",
@@ -103,6 +128,7 @@ def train(
     metrics_path: str,
     keys: Sequence[str] | None = None,
     model_name: str | None = None,
+    portable: bool = False,
 ) -> PipelineModel:
     """Split, fit, save and evaluate one claim type; writes its evaluation row.
 
@@ -113,7 +139,7 @@ def train(
     """
     df = materialise(df, f"training-{kind}")
     train_ts = datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
-    learn, holdout = hash_split(df, keys) if keys else random_split(df)
+    learn, holdout = hash_split(df, keys, portable=portable) if keys else random_split(df)
     if keys:
         learn, holdout = learn.drop(*keys), holdout.drop(*keys)
     start = time.perf_counter()

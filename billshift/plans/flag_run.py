@@ -13,7 +13,7 @@ from billshift import fixed
 from billshift.operators import audit, effect, reports
 from billshift.operators.metrics import merge_metrics
 from billshift.operators.prep import prepare_scoring, with_periods
-from billshift.operators.training import score
+from billshift.operators.training import score_marked
 from billshift.sources.readers import load_pipeline, read_table
 from billshift.sources.writers import publish_increment, register_table, write_table
 
@@ -47,6 +47,18 @@ def claims_by_kind(inputs: Inputs) -> dict[str, DataFrame]:
     return {"A": own, "B": shared, "DME": shared}
 
 
+def marked_claims(inputs: Inputs, models: Mapping[str, PipelineModel]) -> DataFrame:
+    """Claims of all types, each read once: prediction, and whether the model could score it."""
+    return merge_metrics(
+        [
+            score_marked(models[kind], prepare_scoring(df, kind)).select(
+                *_KEYS, fixed.AMOUNT, "prediction", "scored"
+            )
+            for kind, df in claims_by_kind(inputs).items()
+        ]
+    )
+
+
 def run(
     spark: SparkSession,
     inputs: Inputs,
@@ -78,12 +90,8 @@ def run(
             register_table(spark, f"{schema}.{name}", path)
         return read_table(spark, path).where(F.col("run_date") == F.lit(run_date).cast("date"))
 
-    frames = {k: prepare_scoring(df, k) for k, df in claims_by_kind(inputs).items()}
-    raw = merge_metrics([f.select(*_KEYS) for f in frames.values()])
-    scored = merge_metrics(
-        [score(models[k], f).select(*_KEYS, fixed.AMOUNT, "prediction") for k, f in frames.items()]
-    )
-    profile = store(effect.provider_profile(raw, scored), "provider_profile")
+    claims = marked_claims(inputs, models)
+    profile = store(effect.provider_profile(claims, F.col("scored")), "provider_profile")
 
     results = store(effect.test_results(effect.profile_stats(profile)), "test_result")
     counts = audit.profile_counts(profile)

@@ -20,17 +20,18 @@ def train_all(
     root: str,
     keys: Sequence[str] | None = None,
     table: str | None = None,
+    portable: bool = False,
 ) -> DataFrame:
     """``claims``: raw training claims per claim type. Returns the merged evaluation.
 
     Models go to ``root/<folder>/trainedpipeline``, evaluations to
     ``root/evaluation/<type>`` and ``root/evaluation/merged``, which is registered
-    as ``table`` if named. ``keys``: columns of a key-hash split.
+    as ``table`` if named. ``keys``: columns of a key-hash split, by md5 if ``portable``.
     """
     paths = []
     for kind in fixed.CLAIM_TYPES:
         path = f"{root.rstrip('/')}/evaluation/{kind}"
-        train(prepare_training(claims[kind], kind, keys or ()), kind, root, path, keys)
+        train(prepare_training(claims[kind], kind, keys or ()), kind, root, path, keys, portable=portable)
         paths.append(path)
     merged_path = f"{root.rstrip('/')}/evaluation/merged"
     write_table(merge_metrics([read_table(spark, p) for p in paths]), merged_path)

@@ -8,15 +8,16 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.stat import Summarizer
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import OneHotEncoderModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from billshift import fixed
 from billshift.functions.split import split_bucket
 from billshift.operators import audit, effect, features, metrics, params, prep, reports, training
-from billshift.sources import star, writers
+from billshift.plans import training_run
+from billshift.sources import readers, star, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -161,12 +162,14 @@ def _n_reports(spark: SparkSession, sf_dir: str, results: DataFrame) -> DataFram
 def _alerts(spark: SparkSession, sf_dir: str, results: DataFrame) -> DataFrame:
     # Written first: from its true size Spark can tell whether to shuffle the alerts at all.
     flagged = writers.materialise(_n_reports(spark, sf_dir, results), "n_reports")
-    return reports.n_report_alerts(
+    found = reports.n_report_alerts(
         flagged,
         star.report_alerts(spark, sf_dir),
         star.alerts(spark, sf_dir),
         star.alert_models(spark, sf_dir),
     )
+    # As in the whole run: what follows groups a stored table, not the join's partitions.
+    return writers.materialise(found, "n_report_alerts")
 
 
 def education_status(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -256,23 +259,80 @@ def _training_claims(
 
 
 def code_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    columns = features.stage_columns("B")
-    levels = features.code_levels(_training_claims(spark, sf_dir, "B"), columns)
-    return levels.select(F.col("position").cast("bigint").alias("position"), "code", "n_rows")
+    tables = []
+    for kind in fixed.CLAIM_TYPES:
+        claims = _training_claims(spark, sf_dir, kind)
+        levels = features.code_levels(claims, features.stage_columns(kind))
+        tables.append(
+            levels.select(
+                F.lit(kind).alias(fixed.CLAIM_TYPE), F.col("position").cast("bigint").alias("position"), "code", "n_rows"
+            )
+        )
+    return metrics.merge_metrics(tables)
 
 
 def feature_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Claims per position of the assembled vector: indexing, encoding, assembly."""
-    claims = writers.materialise(_training_claims(spark, sf_dir, "B"), "training-B")
-    frame = claims
-    for stage in features.fit_features(claims, "B"):
-        frame = stage.transform(frame)
-    totals = frame.select(Summarizer.sum(F.col("features")).alias("totals"))
-    return totals.select(F.posexplode(vector_to_array("totals")).alias("position", "n")).select(
-        F.col("position").cast("bigint").alias("position"), F.col("n").cast("bigint").alias("n_rows")
+    """Claims per position of the assembled vector: indexing, encoding, assembly.
+
+    Only the positions that a claim has set are shuffled, counted per task before.
+    """
+    tables = []
+    for kind in fixed.CLAIM_TYPES:
+        claims = writers.materialise(_training_claims(spark, sf_dir, kind), f"training-{kind}")
+        stages = features.fit_features(claims, kind)
+        vectors = PipelineModel(stages).transform(claims).select(F.unwrap_udt("features").alias("v"))
+        dense = F.sequence(F.lit(0), F.size("v.values") - 1)
+        entry = F.arrays_zip(F.coalesce("v.indices", dense).alias("at"), F.col("v.values").alias("set"))
+        active = (
+            vectors.select(F.inline(entry).alias("position", "set"))
+            .where(F.col("set") != 0)
+            .groupBy(F.col("position").cast("bigint").alias("id"))
+            .agg(F.count("*").alias("n"))
+        )
+        encoder = next(s for s in stages if isinstance(s, OneHotEncoderModel))
+        width = sum(size - 1 for size in encoder.categorySizes)
+        tables.append(
+            spark.range(width)
+            .join(active, "id", "left")
+            .select(
+                F.lit(kind).alias(fixed.CLAIM_TYPE),
+                F.col("id").alias("position"),
+                F.coalesce("n", F.lit(0).cast("bigint")).alias("n_rows"),
+            )
+        )
+    return metrics.merge_metrics(tables)
+
+
+def scored_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Claims per type and period, and how many the saved and reloaded model scores."""
+    root = writers.scratch_path(spark, "models")
+    tables = []
+    for kind in fixed.CLAIM_TYPES:
+        claims = _scoring_claims(spark, sf_dir, kind)
+        learn = prep.prepare_training(claims.where(F.col("period") == "before"), kind)
+        learn = writers.materialise(learn, f"training-{kind}")
+        writers.save_pipeline(root, fixed.MODEL_FOLDERS[kind], training.fit(learn, kind))
+        model = readers.load_pipeline(root, fixed.MODEL_FOLDERS[kind])
+        tables.append(
+            training.score_marked(model, prep.prepare_scoring(claims, kind)).select(
+                fixed.CLAIM_TYPE, "period", (F.col("scored") & F.col("prediction").isNotNull()).alias("ok")
+            )
+        )
+    return (
+        metrics.merge_metrics(tables)
+        .groupBy(fixed.CLAIM_TYPE, "period")
+        .agg(F.count("*").alias("n_claims"), F.count_if("ok").alias("n_scored"))
     )
 
 
+def evaluations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The training run's three stored evaluations, merged: sizes, and whether the model beats the mean."""
+    claims = {k: star.claims(spark, sf_dir, k, fixed.code_columns(k)) for k in fixed.CLAIM_TYPES}
+    root = writers.scratch_path(spark, "training-run")
+    stored = training_run.train_all(spark, claims, root, keys=star.ROW_KEY, portable=True)
+    return stored.select("model_name", "train_size", "n_rows", (F.col("r2") > 0.1).alias("beats_mean"))
+
+
 def ml_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hold-out metrics of the fitted regression, per claim type."""
     tables = []
@@ -297,6 +357,63 @@ def ml_train_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(effect.test_results(stats), average_difference=2, t_value=4, p_value=4)
 
 
+# --- stored tables --------------------------------------------------------
+
+
+def stored_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table by path, overwritten by one with other columns."""
+    path = writers.scratch_path(spark, "overwritten")
+    claims = star.claims(spark, sf_dir)
+    writers.write_table(metrics.row_count(claims, [fixed.CLAIM_TYPE]), path)
+    totals = claims.groupBy(fixed.CLAIM_TYPE).agg(F.sum("l_quantity").alias("quantity"))
+    writers.write_table(totals, path, replace_schema=True)
+    return _rounded(readers.read_table(spark, path), quantity=2)
+
+
+def _table_name(path: str) -> str:
+    return "billshift_" + path.rsplit("-", 1)[1]
+
+
+def stored_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A registered external table, read by name and by query."""
+    path = writers.scratch_path(spark, "registered")
+    name = _table_name(path)
+    writers.write_table(claims_by_type(spark, sf_dir), path)
+    writers.register_table(spark, name, path)
+    by_name = prep.claims_of_type(readers.read_catalog(spark, name), "B")
+    by_query = readers.read_query(spark, f"SELECT clm_src_type, cnt FROM {name} WHERE clm_src_type = 'DME'")
+    return by_name.unionByName(by_query)
+
+
+def stored_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two published days, one of them published again with other rows."""
+    path = writers.scratch_path(spark, "days")
+    counts = star.claims(spark, sf_dir).groupBy(fixed.CLAIM_TYPE, "period").agg(F.count("*").alias("cnt"))
+    counts = writers.materialise(counts, "counts")
+    before, after = (counts.where(F.col("period") == p).drop("period") for p in fixed.PERIODS)
+    for day, rows in (("2001-12-30", before), ("2001-12-31", before), ("2001-12-30", after)):
+        writers.publish_increment(rows, path, day)
+    return _dates_as_text(readers.read_table(spark, path))
+
+
+def stored_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Catalog tables by ``send`` and ``persist_df``, each overwritten once."""
+    key = _table_name(writers.scratch_path(spark, "sent"))
+    rows = writers.materialise(claims_by_type(spark, sf_dir), "by-type")
+    schema = spark.catalog.currentDatabase()
+    for part in (rows.limit(0), rows):
+        sent = writers.send(part, key, fixed.RESULT_SUFFIXES[0], schema)
+        persisted = writers.persist_df(part, f" {key}_Kept ", schema)
+    tables = {"sent": sent, "persisted": persisted}
+    return metrics.merge_metrics(
+        [readers.read_catalog(spark, name).select(F.lit(label).alias("name"), "*") for label, name in tables.items()]
+    )
+
+
+def flags_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.sorted_flags(all_flags(spark, sf_dir))
+
+
 # --- configuration --------------------------------------------------------
 
 
@@ -361,6 +478,13 @@ QUERIES: dict[str, Query] = {
     "feature_activity": feature_activity,
     "ml_evaluation": ml_evaluation,
     "ml_train_score": ml_train_score,
+    "scored_counts": scored_counts,
+    "evaluations": evaluations,
+    "stored_overwrite": stored_overwrite,
+    "stored_catalog": stored_catalog,
+    "stored_days": stored_days,
+    "stored_results": stored_results,
+    "flags_sorted": flags_sorted,
     "config_params": config_params,
     "params_map": params_map,
     "model_params": model_params,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping
+from datetime import date
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -38,16 +39,14 @@ def register_table(spark: SparkSession, name: str, path: str, fmt: str = "parque
     return table
 
 
-def publish_increment(
-    df: DataFrame, path: str, run_date: str, date_col: str = "run_date", fmt: str = "parquet"
-) -> None:
-    """Write one day of a dated table, replacing that day only.
+def publish_increment(df: DataFrame, path: str, run_date: str, date_col: str = "run_date") -> None:
+    """Write one day of a dated parquet table, replacing that day only.
 
     A rerun, also one that yields no rows, leaves exactly its own result for the
     day, so a job restarted after lost executors publishes nothing twice.
     """
-    day = f"{path.rstrip('/')}/{date_col}={run_date}"
-    df.drop(date_col).write.format(fmt).mode("overwrite").save(day)
+    day = f"{path.rstrip('/')}/{date_col}={date.fromisoformat(run_date).isoformat()}"
+    df.drop(date_col).write.mode("overwrite").parquet(day)
 
 
 def append_increment(
