@@ -180,3 +180,19 @@ def test_published_form(spark):
     out = effect.as_published(effect.test_results(df))
     assert out.columns == ["Educated_NPI", "Averge_Difference", "Test_Value", "P_value", "Flag"]
     assert [t for _, t in out.dtypes] == ["bigint", "float", "float", "float", "string"]
+
+
+def test_profile_counts_other_types_and_claims_without_provider(spark):
+    rows = spark.createDataFrame(
+        [(1, "B", "before", True), (1, "X", "before", False), (1, None, "after", False), (None, "A", "after", False)],
+        "clm_blg_prvdr_npi_num long, clm_src_type string, period string, scored boolean",
+    ).select("*", F.lit(1.0).alias("clm_sbmt_chrg_amt"), F.lit(1.0).alias("prediction"))
+    profile = effect.provider_profile(rows, F.col("scored"))
+    counts = audit.profile_counts(profile).where("before > 0")
+    assert {tuple(r) for r in counts.collect()} == {
+        (1, "B", "before", 1, 1), (1, "other", "before", 1, 0), (1, "other", "after", 1, 0), (None, "A", "after", 1, 0),
+    }
+    skipped = audit.skipped_claims(audit.claim_counts(rows, F.col("scored")), "2001-12-31")
+    assert {(r[0], r[1]) for r in skipped.collect()} == {(1, "X"), (1, None), (None, "A")}
+    assert audit.skipped_claims(counts, "2001-12-31", strict=True).isEmpty()
+    assert effect.profile_stats(profile).isEmpty()

@@ -8,11 +8,14 @@ from billshift.operators import effect, reports
 from billshift.sources import star
 
 
+FITTED = {"ml_evaluation", "ml_train_score", "scored_counts", "evaluations"}
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - {"ml_evaluation", "ml_train_score"}))
+@pytest.mark.parametrize("name", sorted(set(queries()) - FITTED))
 def test_no_python_workers_and_no_pairing(spark, sf_dir, name):
     text = plan(queries()[name](spark, sf_dir))
     for operator in ("PythonUDF", "ArrowEvalPython", "BatchEvalPython", "CartesianProduct", "NestedLoop"):

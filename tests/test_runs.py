@@ -1,10 +1,12 @@
 """Both whole runs on the star-schema claims."""
 
+import dataclasses
+
 import pytest
 from pyspark.sql import functions as F
 
 from billshift import fixed
-from billshift.operators import prep, reports
+from billshift.operators import effect, prep, reports, training
 from billshift.plans import flag_run, training_run
 from billshift.sources import star
 
@@ -75,6 +77,26 @@ def test_flag_run(spark, inputs, trained, tmp_path):
     assert {r[0] for r in spark.table("flags_db.n_flags").select("asrpt_id").collect()} <= flagged
 
 
+def test_marked_claims_are_read_once_and_agree_with_skipping(spark, inputs, trained, tmp_path):
+    models = flag_run.load_models(trained[0])
+    stored = {}
+    for name in ("claims_before", "claims_after", "claims_before_a", "claims_after_a"):
+        getattr(inputs, name).write.parquet(f"{tmp_path}/{name}")
+        stored[name] = spark.read.parquet(f"{tmp_path}/{name}")
+    inputs = dataclasses.replace(inputs, **stored)
+    marked = flag_run.marked_claims(inputs, models)
+    profile = effect.provider_profile(marked, F.col("scored"))
+    # Types B and DME share the tables of two periods, type A has two of its own.
+    assert profile._jdf.queryExecution().executedPlan().toString().count("Scan parquet") == 6
+    for kind, claims in flag_run.claims_by_kind(inputs).items():
+        skipping = training.score(models[kind], prep.prepare_scoring(claims, kind))
+        columns = [fixed.PROVIDER, fixed.AMOUNT, "period", F.round("prediction", 6).alias("p")]
+        mine = marked.where(F.col(fixed.CLAIM_TYPE) == kind)
+        assert mine.where("scored").select(columns).exceptAll(skipping.select(columns)).isEmpty()
+        assert mine.where("scored").count() == skipping.count() < mine.count()
+        assert mine.where("not scored and prediction is not null").isEmpty()
+
+
 def test_scored_and_skipped_add_up(spark, inputs, trained):
     models = flag_run.load_models(trained[0])
     frame = prep.prepare_scoring(flag_run.claims_by_kind(inputs)["DME"], "DME")

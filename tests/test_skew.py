@@ -2,6 +2,7 @@
 
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from billshift.operators import effect, reports
@@ -28,8 +29,11 @@ def test_hot_report_is_one_row_per_model_before_the_shuffle(spark):
     assert len(flags) == 4001 and flags[1] == "N"
 
 
-def test_hot_side_of_the_alert_join_is_split(spark):
+@pytest.mark.parametrize("forced", ["true", "false"])
+def test_hot_side_of_the_alert_join_is_split(spark, forced):
+    """In a tuned session and in one that splits only where it costs no shuffle."""
     settings = {
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": forced,
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
