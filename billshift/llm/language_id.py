@@ -12,11 +12,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from billshift.llm.arrays import code_points, mix, text_slices
+from billshift.llm.arrays import code_points, mix, text_slices, utf8
 
 #: Lengths of the character n-grams, and the hash buckets they share.
 NGRAMS = (1, 2, 3)
@@ -27,15 +28,46 @@ SMOOTHING = 0.5
 #: doc_id: a bounded sample. Languages with fewer rows are read whole.
 FIT_ROWS = 4000
 UNKNOWN = "und"
+#: N-grams are made for so many bytes at once, also within one text.
+PIECE_BYTES = 256 << 10
 
 
-def _grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket of every n-gram, and the position of the text it belongs to."""
-    chars, offsets = code_points(texts)
-    owner = np.repeat(np.arange(len(texts)), np.diff(offsets))
+def _pieces(texts: pa.Array, size: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, int]]:
+    """Texts without nulls in pieces of about ``size`` bytes, so memory follows the piece, not the text.
+
+    A piece is several texts or a part of one: the place of its first text, its code
+    points, where its texts begin and end in them, and how many of the code points n-grams may
+    begin at. A part of a text also has the code points that its last n-grams reach into.
+    """
+    data, ends = utf8(texts)
+    more = max(NGRAMS) - 1
+    start = 0
+    while start < len(texts):
+        stop = max(start + 1, int(np.searchsorted(ends, ends[start] + size, side="right")) - 1)
+        if ends[stop] - ends[start] <= size:
+            chars, offsets = code_points(texts.slice(start, stop - start))
+            yield start, chars, offsets, len(chars)
+        else:
+            at, end = int(ends[start]), int(ends[stop])
+            while at < end:
+                upto = min(at + size, end)
+                # Code points of UTF-8 have at most four bytes.
+                after = data[upto : min(upto + 4 * (more + 1), end)]
+                heads = np.flatnonzero((after & 0xC0) != 0x80)
+                reach = upto + (int(heads[more]) if len(heads) > more else len(after))
+                upto += int(heads[0]) if len(heads) else len(after)
+                chars = np.frombuffer(data[at:reach].tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
+                ahead = int(((data[upto:reach] & 0xC0) != 0x80).sum())
+                yield start, chars, np.array([0, len(chars)]), len(chars) - ahead
+                at = upto
+        start = stop
+
+
+def _grams(chars: np.ndarray, offsets: np.ndarray, begin: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For one n-gram length after the other: bucket of every n-gram, and its text's place in the piece."""
+    owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
     end = np.repeat(offsets[1:], np.diff(offsets))
     position = np.arange(len(chars))
-    buckets, owners = [], []
     rolled = np.zeros(len(chars), np.uint64)
     for n in range(1, max(NGRAMS) + 1):
         shifted = np.zeros(len(chars), np.uint64)
@@ -43,10 +75,8 @@ def _grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
             shifted[: len(chars) - n + 1] = chars[n - 1 :]
         rolled = mix(rolled * np.uint64(0x100000001B3) + shifted + np.uint64(n))
         if n in NGRAMS:
-            inside = position + n <= end
-            buckets.append((rolled[inside] % np.uint64(BUCKETS)).astype(np.int32))
-            owners.append(owner[inside])
-    return np.concatenate(buckets), np.concatenate(owners)
+            inside = (position + n <= end) & (position < begin)
+            yield (rolled[inside] % np.uint64(BUCKETS)).astype(np.int32), owner[inside]
 
 
 def _count_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -58,9 +88,11 @@ def _count_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             texts, langs = part.column("text"), part.column("lang").to_pylist()
             names = sorted(set(langs))
             number = np.array([names.index(x) for x in langs])
-            buckets, owners = _grams(texts)
-            cells = number[owners] * BUCKETS + buckets
-            found = np.bincount(cells, minlength=len(names) * BUCKETS).reshape(-1, BUCKETS)
+            found = np.zeros(len(names) * BUCKETS, np.int64)
+            for start, *piece in _pieces(texts, PIECE_BYTES):
+                for buckets, owners in _grams(*piece):
+                    found += np.bincount(number[start + owners] * BUCKETS + buckets, minlength=len(found))
+            found = found.reshape(-1, BUCKETS)
             for i, name in enumerate(names):
                 counts[name] = counts.get(name, 0) + found[i]
                 rows[name] = rows.get(name, 0) + int((number == i).sum())
@@ -110,20 +142,19 @@ def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS) -> dict[str, np.ndarray |
     }
 
 
-def has_letter(text: str) -> bool:
-    return next((True for c in text if c.isalpha()), False)
-
-
 def score_texts(texts: pa.Array, langs: list[str], logp: np.ndarray, prior: np.ndarray):
     """Predicted language and its posterior probability for every text of a batch."""
-    buckets, owners = _grams(texts)
-    total = np.empty((len(texts), len(langs)))
-    for j in range(len(langs)):
-        picked = logp[:, j][buckets]
-        total[:, j] = np.bincount(owners, weights=picked, minlength=len(texts)) + prior[j]
+    total = np.zeros((len(langs), len(texts)))
+    columns = np.ascontiguousarray(logp.T)
+    for start, *piece in _pieces(texts, PIECE_BYTES):
+        for buckets, owners in _grams(*piece):
+            for j, column in enumerate(columns):
+                sums = np.bincount(owners, weights=column[buckets])
+                total[j, start : start + len(sums)] += sums
+    total = total.T + prior
     best = total.argmax(axis=1)
     posterior = 1.0 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
-    lettered = [has_letter(t) for t in texts.to_pylist()]
+    lettered = pc.match_substring_regex(texts, r"\p{L}").to_numpy(zero_copy_only=False)
     named = [langs[b] if ok else UNKNOWN for b, ok in zip(best, lettered)]
     return named, np.where(lettered, posterior, 0.0)
 
