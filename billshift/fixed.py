@@ -51,6 +51,7 @@ LIVE_MODEL_STATUSES = ["Active", "Inactive"]
 SPLIT_FRACTIONS = [0.7, 0.3]
 SPLIT_SEED = 1234
 MAX_ITER = 100
+TOLERANCE = 1e-6
 REG_PARAM = 0.1
 ELASTIC_NET = 1.0
 ALGORITHM = "Linear Regression"

@@ -59,6 +59,25 @@ def prepare_training(df: DataFrame, kind: str, keys: Sequence[str] = ()) -> Data
     return named.toDF(*[c.upper() for c in codes], "label", *keys)
 
 
+def prepare_training_types(
+    df: DataFrame, kinds: Sequence[str] = tuple(fixed.CLAIM_TYPES), keys: Sequence[str] = ()
+) -> DataFrame:
+    """Claims of several types with label, from one read of a table that holds them all.
+
+    Has the code columns of all ``kinds``, ``keys`` and the claim type; ``training_of`` gives
+    one type's frame. Store it by type (``writers.materialise``) to read types apart.
+    """
+    codes = list(dict.fromkeys(c for kind in kinds for c in fixed.code_columns(kind)))
+    rows = df.where(F.col(fixed.CLAIM_TYPE).isin(*kinds)).select(*codes, fixed.AMOUNT, *keys, fixed.CLAIM_TYPE)
+    named = as_label(blank_to_token(rows))
+    return named.toDF(*[c.upper() for c in codes], "label", *keys, fixed.CLAIM_TYPE)
+
+
+def training_of(prepared: DataFrame, kind: str, keys: Sequence[str] = ()) -> DataFrame:
+    """``prepare_training`` of one type, out of ``prepare_training_types``."""
+    return claims_of_type(prepared, kind).select(*[c.upper() for c in fixed.code_columns(kind)], "label", *keys)
+
+
 def with_periods(before: DataFrame, after: DataFrame) -> DataFrame:
     """Claims from before and after education as one frame with a ``period``."""
     return before.withColumn("period", F.lit("before")).unionByName(

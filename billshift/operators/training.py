@@ -16,6 +16,7 @@ from billshift import fixed
 from billshift.functions.split import split_bucket
 from billshift.operators.features import feature_stages, fit_features
 from billshift.operators.metrics import regression_metrics
+from billshift.sources.readers import read_table
 from billshift.sources.writers import materialise, save_pipeline, write_table
 
 
@@ -36,12 +37,19 @@ def hash_split(
     return df.where(bucket < train_percent), df.where(bucket >= train_percent)
 
 
-def charge_regressor(aggregation_depth: int = 2) -> LinearRegression:
-    """Lasso regression of the label; raise the depth with the number of partitions."""
+def charge_regressor(
+    aggregation_depth: int = 2, max_iter: int = fixed.MAX_ITER, tolerance: float = fixed.TOLERANCE
+) -> LinearRegression:
+    """Lasso regression of the label; raise the depth with the number of partitions.
+
+    The default settings stop near the optimum; more iterations and a smaller tolerance
+    reach it (see ``optimality``).
+    """
     return LinearRegression(
         featuresCol="features",
         labelCol="label",
-        maxIter=fixed.MAX_ITER,
+        maxIter=max_iter,
+        tol=tolerance,
         regParam=fixed.REG_PARAM,
         elasticNetParam=fixed.ELASTIC_NET,
         aggregationDepth=aggregation_depth,
@@ -53,18 +61,25 @@ def training_pipeline(kind: str) -> Pipeline:
     return Pipeline(stages=[*feature_stages(kind), charge_regressor()])
 
 
-def fit(df: DataFrame, kind: str, aggregation_depth: int = 2) -> PipelineModel:
+def fit(
+    df: DataFrame,
+    kind: str,
+    aggregation_depth: int = 2,
+    regressor: LinearRegression | None = None,
+    levels: DataFrame | None = None,
+) -> PipelineModel:
     """Fit the pipeline of one claim type; claims without a label are left out.
 
     Each task of the regression sends a buffer as large as the model's matrix or
     gradient; ``aggregation_depth`` merges them in steps. The number of tasks follows
-    the input, not the cores that happen to be registered.
+    the input, not the cores that happen to be registered. ``levels``: the vocabulary of
+    the labelled claims (``code_levels``), if it has been counted already.
     """
     labelled = df.where(F.col("label").isNotNull())
-    stages = fit_features(labelled, kind)
+    stages = fit_features(labelled, kind, levels)
     features = PipelineModel(stages).transform(labelled).select("features", "label")
-    regressor = charge_regressor(aggregation_depth).fit(features)
-    return PipelineModel([*stages, regressor])
+    fitted = (regressor or charge_regressor(aggregation_depth)).fit(features)
+    return PipelineModel([*stages, fitted])
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -94,8 +109,13 @@ def score_marked(model: PipelineModel, df: DataFrame) -> DataFrame:
     return frame.withColumn("prediction", F.when(F.col("scored"), F.col("prediction")))
 
 
+def holdout_predictions(model: PipelineModel, holdout: DataFrame) -> DataFrame:
+    """``label, prediction`` of the hold-out claims the model can score."""
+    return score(model, holdout).select("label", "prediction")
+
+
 def evaluate(model: PipelineModel, holdout: DataFrame) -> DataFrame:
-    return regression_metrics(score(model, holdout))
+    return regression_metrics(holdout_predictions(model, holdout))
 
 
 def evaluation_row(
@@ -129,15 +149,20 @@ def train(
     keys: Sequence[str] | None = None,
     model_name: str | None = None,
     portable: bool = False,
+    stored: bool = False,
 ) -> PipelineModel:
     """Split, fit, save and evaluate one claim type; writes its evaluation row.
 
+    The hold-out predictions are stored beside it (``holdout_path``), and the row is
+    computed from the stored table: whoever doubts a metric can compute it again.
+
     ``keys`` selects the key-hash split, otherwise the seeded one is used.
     ``train_time`` is wall-clock seconds of the fit. The prepared claims are read
     several times (vocabulary, regression, evaluation), so they are written once as
-    a narrow table; that also fixes the partitions a seeded split depends on.
+    a narrow table (``stored`` says that ``df`` is one already); that also fixes the
+    partitions a seeded split depends on.
     """
-    df = materialise(df, f"training-{kind}")
+    df = df if stored else materialise(df, f"training-{kind}")
     train_ts = datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
     learn, holdout = hash_split(df, keys, portable=portable) if keys else random_split(df)
     if keys:
@@ -146,8 +171,14 @@ def train(
     model = fit(learn, kind)
     seconds = time.perf_counter() - start
     save_pipeline(root, fixed.MODEL_FOLDERS[kind], model)
-    row = evaluation_row(
-        evaluate(model, holdout), model_name or f"charge_{kind}", train_ts, seconds, learn.count()
-    )
+    predictions = holdout_path(metrics_path)
+    write_table(holdout_predictions(model, holdout), predictions)
+    metrics = regression_metrics(read_table(df.sparkSession, predictions))
+    row = evaluation_row(metrics, model_name or f"charge_{kind}", train_ts, seconds, learn.count())
     write_table(row, metrics_path)
     return model
+
+
+def holdout_path(metrics_path: str) -> str:
+    """Where ``train`` stores the hold-out predictions behind an evaluation row."""
+    return f"{metrics_path.rstrip('/')}-holdout"

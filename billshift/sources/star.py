@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from billshift import fixed
+from billshift.operators.features import code_entries
+from billshift.operators.weights import INTERCEPT
 
 RUN_DATE = "2001-12-31"
 PROVIDER_OFFSET = 3_000_000_000
@@ -172,6 +174,25 @@ def estimated(spark: SparkSession, sf_dir: str, kind: str | None = None) -> Data
     )
 
 
+def code_effects(prepared: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """A weights table in closed form: ``position, code, weight`` and the intercept's row.
+
+    A code weighs its claims' mean charge less the mean of all, shared out over the columns and
+    rounded to cents. ``prepared``: one type's training frame; a claim counts for the columns
+    before its first missing code.
+    """
+    rows = prepared.where(F.col("label").isNotNull())
+    # One row.
+    mean = rows.agg(F.avg("label").alias("mean"))
+    codes = rows.select("label", F.inline(code_entries(columns))).groupBy("position", "code").agg(F.avg("label").alias("at"))
+    weight = F.round((F.col("at") - F.col("mean")) / len(columns), 2)
+    weights = codes.join(F.broadcast(mean)).select("position", "code", weight.alias("weight"))
+    intercept = mean.select(
+        F.lit(INTERCEPT).alias("position"), F.lit(None).cast("string").alias("code"), F.round("mean", 2).alias("weight")
+    )
+    return weights.unionByName(intercept)
+
+
 def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A report per supplier, and per customer (subjects that were never educated)."""
     suppliers = table(spark, sf_dir, "supplier").select(
