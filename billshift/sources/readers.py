@@ -32,6 +32,46 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     return spark.read.format(fmt).load(path)
 
 
+#: Below a replaced table: the file that names the current version, and the versions' folder.
+CURRENT = "_current"
+VERSIONS = "versions"
+
+
+def current_version(spark: SparkSession, root: str) -> str | None:
+    """Path of the version that ``writers.replace_table`` made current last; none before the first."""
+    jvm = spark.sparkContext._jvm
+    pointer = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{CURRENT}")
+    fs = pointer.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(pointer):
+        return None
+    stream = fs.open(pointer)
+    name = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    stream.close()
+    return f"{root.rstrip('/')}/{VERSIONS}/{name}"
+
+
+def read_current(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame:
+    """The current version of a table written by ``writers.replace_table``."""
+    version = current_version(spark, root)
+    if version is None:
+        raise FileNotFoundError(f"no version was ever completed under {root}")
+    return spark.read.format(fmt).load(version)
+
+
+def ordered_files(spark: SparkSession, path: str) -> list[str]:
+    """The files of a table, by name: the order of one written by ``writers.write_ordered``."""
+    return sorted(spark.read.parquet(path).inputFiles(), key=lambda f: f.rsplit("/", 1)[1])
+
+
+def read_ordered(spark: SparkSession, path: str) -> DataFrame:
+    """A table of ``writers.write_ordered`` in the order it was written in.
+
+    Spark reads files in any order; their names and the rows' places in them bring it back.
+    """
+    place = (F.col("_metadata.file_name"), F.col("_metadata.row_index"))
+    return spark.read.parquet(path).orderBy(*place)
+
+
 def read_catalog(spark: SparkSession, name: str) -> DataFrame:
     """A catalog table or view by name."""
     return spark.table(name)
