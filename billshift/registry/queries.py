@@ -15,8 +15,11 @@ from pyspark.sql import functions as F
 
 from billshift import fixed
 from billshift.functions.split import split_bucket
-from billshift.operators import audit, effect, features, metrics, params, prep, reports, training
-from billshift.plans import training_run
+from billshift.operators import (
+    audit, effect, features, lasso, metrics, optimality, params, prep, profiles, reports, splits, training, weights,
+)
+from billshift.operators.ranking import numbered
+from billshift.plans import incremental, training_run
 from billshift.sources import readers, star, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -258,17 +261,41 @@ def _training_claims(
     return prep.prepare_training(claims, kind, keys)
 
 
+#: The code columns of all claim types.
+ALL_CODES = list(dict.fromkeys(c for kind in fixed.CLAIM_TYPES for c in fixed.code_columns(kind)))
+KINDS = {kind: features.stage_columns(kind) for kind in fixed.CLAIM_TYPES}
+
+
+def _stored_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Claims of all types with all codes, joined and written once, a folder per type."""
+    claims = star.claims(spark, sf_dir, codes=ALL_CODES).where(F.col(fixed.CLAIM_TYPE).isNotNull())
+    return writers.materialise(claims, "claims", [fixed.CLAIM_TYPE])
+
+
+def _stored_training(claims: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    return writers.materialise(prep.prepare_training_types(claims, keys=keys), "training", [fixed.CLAIM_TYPE])
+
+
+def _training_of_all(spark: SparkSession, sf_dir: str, keys: Sequence[str] = ()) -> DataFrame:
+    return _stored_training(star.claims(spark, sf_dir, codes=ALL_CODES), keys)
+
+
+def _levels(claims: DataFrame) -> DataFrame:
+    return features.code_levels_by_type(claims, KINDS, fixed.CLAIM_TYPE)
+
+
+def _shown(levels: DataFrame) -> DataFrame:
+    return levels.withColumn("position", F.col("position").cast("bigint"))
+
+
 def code_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = []
-    for kind in fixed.CLAIM_TYPES:
-        claims = _training_claims(spark, sf_dir, kind)
-        levels = features.code_levels(claims, features.stage_columns(kind))
-        tables.append(
-            levels.select(
-                F.lit(kind).alias(fixed.CLAIM_TYPE), F.col("position").cast("bigint").alias("position"), "code", "n_rows"
-            )
-        )
-    return metrics.merge_metrics(tables)
+    return _shown(_levels(prep.prepare_training_types(star.claims(spark, sf_dir, codes=ALL_CODES))))
+
+
+def code_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The index of every code, numbered across partitions."""
+    levels = writers.materialise(_levels(prep.prepare_training_types(star.claims(spark, sf_dir, codes=ALL_CODES))), "levels")
+    return _shown(features.ranked_levels(levels, [fixed.CLAIM_TYPE]))
 
 
 def feature_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -276,10 +303,12 @@ def feature_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Only the positions that a claim has set are shuffled, counted per task before.
     """
+    prepared = _training_of_all(spark, sf_dir)
+    levels = writers.materialise(_levels(prepared), "levels")
     tables = []
     for kind in fixed.CLAIM_TYPES:
-        claims = writers.materialise(_training_claims(spark, sf_dir, kind), f"training-{kind}")
-        stages = features.fit_features(claims, kind)
+        claims = prep.training_of(prepared, kind)
+        stages = features.fit_features(claims, kind, prep.claims_of_type(levels, kind))
         vectors = PipelineModel(stages).transform(claims).select(F.unwrap_udt("features").alias("v"))
         dense = F.sequence(F.lit(0), F.size("v.values") - 1)
         entry = F.arrays_zip(F.coalesce("v.indices", dense).alias("at"), F.col("v.values").alias("set"))
@@ -306,15 +335,14 @@ def feature_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scored_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Claims per type and period, and how many the saved and reloaded model scores."""
     root = writers.scratch_path(spark, "models")
+    stored = _stored_claims(spark, sf_dir)
+    learn = _stored_training(stored.where(F.col("period") == "before"))
     tables = []
     for kind in fixed.CLAIM_TYPES:
-        claims = _scoring_claims(spark, sf_dir, kind)
-        learn = prep.prepare_training(claims.where(F.col("period") == "before"), kind)
-        learn = writers.materialise(learn, f"training-{kind}")
-        writers.save_pipeline(root, fixed.MODEL_FOLDERS[kind], training.fit(learn, kind))
+        writers.save_pipeline(root, fixed.MODEL_FOLDERS[kind], training.fit(prep.training_of(learn, kind), kind))
         model = readers.load_pipeline(root, fixed.MODEL_FOLDERS[kind])
         tables.append(
-            training.score_marked(model, prep.prepare_scoring(claims, kind)).select(
+            training.score_marked(model, prep.prepare_scoring(stored, kind)).select(
                 fixed.CLAIM_TYPE, "period", (F.col("scored") & F.col("prediction").isNotNull()).alias("ok")
             )
         )
@@ -327,19 +355,19 @@ def scored_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def evaluations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The training run's three stored evaluations, merged: sizes, and whether the model beats the mean."""
-    claims = {k: star.claims(spark, sf_dir, k, fixed.code_columns(k)) for k in fixed.CLAIM_TYPES}
+    claims = star.claims(spark, sf_dir, codes=ALL_CODES)
     root = writers.scratch_path(spark, "training-run")
-    stored = training_run.train_all(spark, claims, root, keys=star.ROW_KEY, portable=True)
+    kinds = dict.fromkeys(fixed.CLAIM_TYPES, claims)
+    stored = training_run.train_all(spark, kinds, root, keys=star.ROW_KEY, portable=True)
     return stored.select("model_name", "train_size", "n_rows", (F.col("r2") > 0.1).alias("beats_mean"))
 
 
 def ml_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hold-out metrics of the fitted regression, per claim type."""
+    prepared = _training_of_all(spark, sf_dir, star.ROW_KEY)
     tables = []
     for kind in fixed.CLAIM_TYPES:
-        claims = _training_claims(spark, sf_dir, kind, star.ROW_KEY)
-        claims = writers.materialise(claims, f"training-{kind}")
-        learn, holdout = training.hash_split(claims, star.ROW_KEY)
+        learn, holdout = training.hash_split(prep.training_of(prepared, kind, star.ROW_KEY), star.ROW_KEY)
         row = training.evaluate(training.fit(learn, kind), holdout)
         tables.append(row.select(F.lit(f"charge_{kind}").alias("model_name"), "*"))
     return _metrics(metrics.merge_metrics(tables))
@@ -347,16 +375,131 @@ def ml_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ml_train_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Test results with predictions of the fitted regressions instead of the line."""
+    stored = _stored_claims(spark, sf_dir)
+    learn = _stored_training(stored.where(F.col("period") == "before"))
     scored = []
     for kind in fixed.CLAIM_TYPES:
-        claims = _scoring_claims(spark, sf_dir, kind)
-        learn = prep.prepare_training(claims.where(F.col("period") == "before"), kind)
-        model = training.fit(writers.materialise(learn, f"training-{kind}"), kind)
-        scored.append(effect.residuals(training.score(model, prep.prepare_scoring(claims, kind))))
+        model = training.fit(prep.training_of(learn, kind), kind)
+        scored.append(effect.residuals(training.score(model, prep.prepare_scoring(stored, kind))))
     stats = effect.before_after(metrics.merge_metrics(scored))
     return _rounded(effect.test_results(stats), average_difference=2, t_value=4, p_value=4)
 
 
+def lasso_optimality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per type and feature of the fitted and refined regressions: how far from optimal.
+
+    ``violation`` is of the subgradient condition (the penalty is 0.1), ``gap_share`` the
+    duality gap as a share of the loss.
+    """
+    prepared = _training_of_all(spark, sf_dir)
+    levels = writers.materialise(_levels(prepared), "levels")
+    tables = []
+    for kind in fixed.CLAIM_TYPES:
+        claims = prep.training_of(prepared, kind)
+        model = training.fit(claims, kind, levels=prep.claims_of_type(levels, kind))
+        fitted = writers.materialise(weights.model_weights(spark, model), "weights", ["position"])
+        table = writers.materialise(lasso.refine(claims, fitted, KINDS[kind]), "weights", ["position"])
+        scored = writers.materialise(weights.score_by_weights(claims, table, KINDS[kind]), "scored")
+        gradients = writers.materialise(optimality.subgradients(scored, table, KINDS[kind]), "gradients")
+        gap = optimality.duality_gap(scored, gradients)
+        tables.append(
+            gradients.join(F.broadcast(gap.select((F.col("gap") / F.col("primal")).alias("gap_share")))).select(
+                F.lit(kind).alias(fixed.CLAIM_TYPE), "feature", F.col("position").cast("bigint").alias("position"), "code",
+                F.col("n").alias("n_rows"), "scale", "violation", "gap_share",
+            )
+        )
+    return _rounded(metrics.merge_metrics(tables), scale=6, violation=2, gap_share=3)
+
+
+def _effects(learn: DataFrame) -> dict[str, DataFrame]:
+    """Stored weights per claim type, in a closed form that SQL can state too."""
+    return {
+        kind: writers.materialise(star.code_effects(prep.training_of(learn, kind), columns), "weights", ["position"])
+        for kind, columns in KINDS.items()
+    }
+
+
+def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Claims of all types, both periods, scored by stored weights, with their residuals."""
+    stored = _stored_claims(spark, sf_dir)
+    table = _effects(_stored_training(stored.where(F.col("period") == "before")))
+    scored = [
+        weights.score_by_weights(prep.prepare_scoring(stored, kind), table[kind], columns).where("scored")
+        for kind, columns in KINDS.items()
+    ]
+    rows = metrics.merge_metrics([effect.residuals(s) for s in scored])
+    return _rounded(rows, clm_sbmt_chrg_amt=2, prediction=2, incorrect_billing_amt=2)
+
+
+def evaluation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Evaluation rows computed from stored hold-out predictions, one model per type."""
+    prepared = _training_of_all(spark, sf_dir, star.ROW_KEY)
+    learn, holdout = training.hash_split(prepared, star.ROW_KEY, portable=True)
+    table = _effects(learn)
+    rows = []
+    for kind, columns in KINDS.items():
+        scored = weights.score_by_weights(prep.training_of(holdout, kind), table[kind], columns).where("scored")
+        path = writers.scratch_path(spark, f"holdout-{kind}")
+        writers.write_table(scored.select("label", "prediction"), path)
+        size = prep.claims_of_type(learn, kind).count()
+        row = metrics.regression_metrics(readers.read_table(spark, path))
+        rows.append(training.evaluation_row(row, f"charge_{kind}", "2001-12-31 00:00:00", 1.0, size))
+    return _rounded(metrics.merge_metrics(rows), rmse=2, mse=0, r2=6, mae=2)
+
+
+def exact_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    claims = star.claims(spark, sf_dir)
+    sides = splits.exact_split(claims, star.ROW_KEY, [fixed.CLAIM_TYPE])
+    tables = [df.withColumn("side", F.lit(side)) for side, df in zip(("train", "holdout"), sides)]
+    rows = metrics.merge_metrics(tables).groupBy(fixed.CLAIM_TYPE, "side")
+    return _rounded(rows.agg(F.count("*").alias("n_rows"), F.sum(fixed.AMOUNT).alias("charged")), charged=2)
+
+
+def stale_prediction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Claims that come with predictions of another model: these are dropped before scoring."""
+    learn = _training_claims(spark, sf_dir, "DME").where(F.col("label") < 50_000)
+    model = training.fit(writers.materialise(learn, "training"), "DME")
+    claims = _training_claims(spark, sf_dir, "DME").withColumn("prediction", F.lit(-1e9))
+    scored = training.score(model, claims).withColumn("stale", F.col("prediction") == -1e9)
+    return scored.groupBy("stale").agg(F.count("*").alias("n_rows"))
+
+
+# --- profiles kept by day -------------------------------------------------
+
+
+def _daily_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile after three days, one of which came late and one twice."""
+    root = writers.scratch_path(spark, "profile")
+    claims = star.estimated(spark, sf_dir)
+    of = {f"2001-12-{29 + part}": claims.where(F.pmod("l_orderkey", F.lit(3)) == part) for part in range(3)}
+    first, late, last = of
+    incremental.add_day(spark, root, first, of[first], F.col("scored"))
+    incremental.add_day(spark, root, last, of[late], F.col("scored"))
+    incremental.add_day(spark, root, late, of[late], F.col("scored"))
+    return incremental.add_day(spark, root, last, of[last], F.col("scored"))
+
+
+def daily_before_after(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded_stats(effect.profile_stats(_daily_profile(spark, sf_dir)))
+
+
+def daily_skipped_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = audit.profile_counts(_daily_profile(spark, sf_dir))
+    return _dates_as_text(audit.skipped_claims(counts, star.RUN_DATE))
+
+
+def merged_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of both periods from profiles of the three claim types, merged pairwise."""
+    claims = star.estimated(spark, sf_dir)
+    first, *rest = (
+        writers.materialise(effect.provider_profile(prep.claims_of_type(claims, kind), F.col("scored")), f"profile-{kind}")
+        for kind in fixed.CLAIM_TYPES
+    )
+    for profile in rest:
+        first = profiles.merge_profiles(first, profile)
+    return _rounded_stats(effect.profile_stats(first))
+
+
 # --- stored tables --------------------------------------------------------
 
 
@@ -410,6 +553,53 @@ def stored_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stored_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A staged table by its pointer and by its catalog name, replaced twice: by more rows, then by other columns."""
+    root = writers.scratch_path(spark, "staged")
+    name = _table_name(root)
+    claims = star.claims(spark, sf_dir)
+    counts = writers.materialise(metrics.row_count(claims, [fixed.CLAIM_TYPE]), "counts")
+    writers.replace_table(counts.limit(1), root, name)
+    writers.replace_table(counts, root, name)
+    by_name = readers.read_catalog(spark, name).select(F.lit("rows").alias("name"), fixed.CLAIM_TYPE, F.col("cnt").cast("double").alias("value"))
+    by_name = writers.materialise(by_name, "replaced")
+    totals = claims.groupBy(fixed.CLAIM_TYPE).agg(F.sum("l_quantity").alias("quantity"))
+    writers.replace_table(totals, root, name)
+    by_pointer = readers.read_current(spark, root).select(F.lit("quantity").alias("name"), fixed.CLAIM_TYPE, F.col("quantity").alias("value"))
+    return _rounded(by_name.unionByName(by_pointer), value=2)
+
+
+def stored_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days of claims published in one job; then some of them again with other rows, one without any."""
+    path = writers.scratch_path(spark, "backfill")
+    days = F.to_date(F.concat(F.date_format(fixed.SERVICE_DATE, "yyyy-MM"), F.lit("-01")))
+    claims = star.claims(spark, sf_dir).withColumn("run_date", days)
+    counts = claims.groupBy("run_date", fixed.CLAIM_TYPE, "period").agg(F.count("*").alias("cnt"))
+    counts = writers.materialise(counts, "counts")
+    writers.publish_days(counts, path)
+    again = counts.where((F.year("run_date") == 1996) & (F.month("run_date") != 5) & (F.col("period") == "before"))
+    for _ in range(2):
+        writers.publish_days(again, path, days=["1996-05-01"])
+    return _dates_as_text(readers.read_table(spark, path))
+
+
+def persisted_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table persisted without naming a schema, overwritten once."""
+    rows = writers.materialise(claims_by_type(spark, sf_dir), "by-type")
+    key = _table_name(writers.scratch_path(spark, "default"))
+    for part in (rows.limit(1), rows):
+        name = writers.persist_df(part, f"  {key.upper()} ")
+    return readers.read_catalog(spark, name)
+
+
+def flags_in_file_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flags stored in order and numbered as they stand in the files, file after file."""
+    path = writers.scratch_path(spark, "ordered")
+    writers.write_ordered(all_flags(spark, sf_dir), path, [fixed.REPORT, "testing_flag"])
+    rows = spark.read.parquet(path).select("*", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
+    return numbered(rows, ["file", "row"], "place", start=1).drop("file", "row")
+
+
 def flags_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.sorted_flags(all_flags(spark, sf_dir))
 
@@ -442,6 +632,14 @@ def missing_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     return params.missing_models(star.alerts(spark, sf_dir), live, fixed.MODEL)
 
 
+def known_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every model that config entries name: whether the registry has it."""
+    registry = star.config(spark, sf_dir).where(F.col("p_partkey") % 2 == 0)
+    names = [r[0] for r in star.config(spark, sf_dir).select(fixed.CONFIG_MODEL).distinct().collect()]
+    rows = [(name, params.has_model(registry, name)) for name in names]
+    return spark.createDataFrame(rows, f"{fixed.CONFIG_MODEL} string, known boolean")
+
+
 QUERIES: dict[str, Query] = {
     "blank_token": blank_token,
     "scoring_frame_a": scoring_frame("A"),
@@ -475,7 +673,16 @@ QUERIES: dict[str, Query] = {
     "metrics_merge": metrics_merge,
     "hash_split": hash_split,
     "code_levels": code_levels,
+    "code_ranks": code_ranks,
     "feature_activity": feature_activity,
+    "lasso_optimality": lasso_optimality,
+    "predictions": predictions,
+    "evaluation_rows": evaluation_rows,
+    "exact_split": exact_split,
+    "stale_prediction": stale_prediction,
+    "daily_before_after": daily_before_after,
+    "daily_skipped_audit": daily_skipped_audit,
+    "merged_profiles": merged_profiles,
     "ml_evaluation": ml_evaluation,
     "ml_train_score": ml_train_score,
     "scored_counts": scored_counts,
@@ -484,9 +691,14 @@ QUERIES: dict[str, Query] = {
     "stored_catalog": stored_catalog,
     "stored_days": stored_days,
     "stored_results": stored_results,
+    "stored_replaced": stored_replaced,
+    "stored_backfill": stored_backfill,
+    "persisted_default": persisted_default,
     "flags_sorted": flags_sorted,
+    "flags_in_file_order": flags_in_file_order,
     "config_params": config_params,
     "params_map": params_map,
     "model_params": model_params,
     "missing_models": missing_models,
+    "known_models": known_models,
 }
