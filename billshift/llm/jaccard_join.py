@@ -28,8 +28,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from billshift.functions.names import unused
 from billshift.llm.arrays import mix, ranges, text_slices, word_hashes
 from billshift.llm.components import components
+from billshift.llm.places import with_places
 from billshift.sources.writers import materialise
 
 #: Words of a shingle; similarity from which sets link, as a fraction.
@@ -440,8 +442,16 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` without near copies: of each component the row with its smallest doc_id.
 
-    Documents without shingles stay. ``docs`` holds each doc_id once.
+    Rows are told apart by their place, so a repeated or null doc_id is no matter: of rows
+    with equal ids the first stays, a null id counts as larger than any. Documents
+    without shingles stay. All columns are kept as they are.
     """
-    judged = jaccard_components(docs)
-    gone = judged.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+    place = unused(docs.columns, "_place")
+    rows = with_places(docs, place)
+    judged = jaccard_components(rows.select(F.col(place).alias("doc_id"), "text"))
+    # With the real ids, and one row per component: rows of a large component are not joined.
+    ids = rows.select(F.col(place).alias("place"), F.col("doc_id").alias("id"))
+    judged = judged.select(F.col("doc_id").alias("place"), "component_id").join(ids.hint("merge"), "place")
+    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "place"))
+    kept = judged.groupBy("component_id").agg(first.alias("first")).select(F.col("first.place").alias(place))
+    return rows.join(kept.hint("merge"), place, "left_semi").select(*docs.columns)

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from billshift.functions.names import unused
 from billshift.llm.arrays import code_points, mix, text_slices, utf8
 
 #: Lengths of the character n-grams, and the hash buckets they share.
@@ -159,13 +160,13 @@ def score_texts(texts: pa.Array, langs: list[str], logp: np.ndarray, prior: np.n
     return named, np.where(lettered, posterior, 0.0)
 
 
-def identify(docs: DataFrame, model: dict) -> DataFrame:
+def identify(docs: DataFrame, model: dict, lang_pred: str = "lang_pred", score: str = "score") -> DataFrame:
     """``lang_pred`` and ``score`` beside every column of ``docs``.
 
     ``und`` with score 0 for a null text, one without letters, or a model that knows
-    no language. Columns of these two names are replaced.
+    no language. Columns of these two names are replaced; they can be named otherwise.
     """
-    docs = docs.drop("lang_pred", "score")
+    docs = docs.drop(lang_pred, score)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = docs.columns
 
@@ -183,10 +184,10 @@ def identify(docs: DataFrame, model: dict) -> DataFrame:
                 at += len(texts)
                 yield pa.RecordBatch.from_arrays(
                     [*rows.columns, pa.array(named, pa.string()), pa.array(sure, pa.float64())],
-                    names=[*names, "lang_pred", "score"],
+                    names=[*names, lang_pred, score],
                 )
 
-    schema = StructType([*docs.schema.fields]).add("lang_pred", "string").add("score", "double")
+    schema = StructType([*docs.schema.fields]).add(lang_pred, "string").add(score, "double")
     return docs.mapInArrow(predict, schema)
 
 
@@ -202,6 +203,6 @@ def fit_corpus(docs: DataFrame) -> dict:
 
 def keep_identified(docs: DataFrame, model: dict, least: float = 0.5) -> DataFrame:
     """The documents whose language is recognised: not ``und``, posterior at least ``least``."""
-    judged = identify(docs, model)
-    kept = judged.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
-    return kept.select(*docs.columns)
+    lang, score = (unused(docs.columns, n) for n in ("_lang_pred", "_score"))
+    judged = identify(docs, model, lang, score)
+    return judged.where((F.col(lang) != UNKNOWN) & (F.col(score) >= least)).select(*docs.columns)

@@ -18,6 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from billshift.functions.names import unused
 from billshift.sources.writers import materialise
 
 #: Weights of the sources in code-point order, repeating.
@@ -195,14 +196,18 @@ def mix(
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The mix itself: every row of ``docs`` as often as it is taken."""
     names = docs.columns
+    # Helper columns under names that the table has not.
+    own, doc_id, source, text_hash, times, copy = (
+        unused(names, n) for n in ("_text_hash", "_id", "_source", "_hash", "_times", "_copy")
+    )
     taken = mix(docs).where("times > 0").select(
-        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("text_hash").alias("_hash"), "times"
-    ).withColumnRenamed("times", "_times")
-    rows = docs.withColumn("_text_hash", F.xxhash64("text"))
+        F.col("doc_id").alias(doc_id), F.col("source").alias(source), F.col("text_hash").alias(text_hash), F.col("times").alias(times)
+    )
+    rows = docs.withColumn(own, F.xxhash64("text"))
     same = (
-        rows["doc_id"].eqNullSafe(taken["_id"])
-        & rows["source"].eqNullSafe(taken["_source"])
-        & (rows["_text_hash"] == taken["_hash"])
+        rows["doc_id"].eqNullSafe(taken[doc_id])
+        & rows["source"].eqNullSafe(taken[source])
+        & (rows[own] == taken[text_hash])
     )
-    repeated = rows.join(taken.hint("merge"), same).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times").cast("int"))))
+    repeated = rows.join(taken.hint("merge"), same).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times).cast("int"))))
     return repeated.select(*names)

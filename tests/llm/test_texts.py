@@ -148,3 +148,89 @@ def test_edited_texts(spark, sf_dir, odd, none):
     assert fingerprints.compare_with_next(odd).count() == 14
     assert fingerprints.compare_with_next(none).count() == 0
     assert fingerprints.fingerprints(odd).count() == 14
+
+
+def naive_shared(streams, share, least):
+    """Windows by plain counting, and the places they cover."""
+    n = html_text.DEPTH
+    sets = [{tuple(s[i : i + n]) for i in range(len(s) - n + 1)} for s in streams]
+    counts = {}
+    for found in sets:
+        for w in found:
+            counts[w] = counts.get(w, 0) + 1
+    kept = {w for w, c in counts.items() if c >= max(least, share * len(streams))}
+    return [[any(tuple(s[j : j + n]) in kept for j in range(max(0, i - n + 1), min(i, len(s) - n) + 1)) for i in range(len(s))] for s in streams]
+
+
+def test_shared_substrings_agree_with_a_naive_search():
+    import random
+
+    import numpy as np
+
+    rng = random.Random(7)
+    menu = [rng.randrange(50) for _ in range(12)]
+    streams = []
+    for _ in range(30):
+        body = [rng.randrange(3) for _ in range(rng.randrange(0, 40))]
+        streams.append(body[:5] + menu + body[5:] if rng.random() < 0.7 else body)
+    streams = [list(s) for s in dict.fromkeys(map(tuple, streams))]
+    arrays = [np.array(s, np.uint32) for s in streams]
+    hashes, spread = html_text.shared_windows(arrays)
+    kept = np.sort(hashes[spread >= max(3, 0.5 * len(arrays))])
+    want = naive_shared(streams, 0.5, 3)
+    assert any(map(any, want))
+    assert [html_text.covered(a, kept).tolist() for a in arrays] == want
+
+
+def frame_pages(count, hosts):
+    menu = " ".join(f"menu{i}" for i in range(12))
+    last = "<div>All rights in these pages stay with those who wrote them down</div>"
+    return [
+        (i, f"http://h{i % hosts}.example/{i}", f"<div>{menu}</div><p>" + " ".join(f"t{i}x{j}" for j in range(30)) + f"</p>{last}")
+        for i in range(count)
+    ]
+
+
+@pytest.mark.parametrize("shard", [64, 2000, 8 << 20])
+def test_boilerplate_of_a_whole_host(spark, shard):
+    """Untagged frames go, whatever the shards; copies of a page are one page and stay."""
+    rows = frame_pages(60, 3) + [(100 + i, "http://h0.example/copy", frame_pages(1, 1)[0][2]) for i in range(40)]
+    rows += [(200 + i, f"http://few.example/{i}", "<p>" + " ".join(f"near{j}" for j in range(40)) + f" {i}</p>") for i in range(3)]
+    pages = spark.createDataFrame([(*r, "x", 1) for r in rows], "page_id long, url string, html string, text string, windows int")
+    found = {r["page_id"]: r["text"] for r in html_text.main_text(pages, shard=shard).collect()}
+    assert len(found) == 103
+    for i in range(60):
+        assert found[i] == " ".join(f"t{i}x{j}" for j in range(30))
+    assert {found[100 + i] for i in range(40)} == {found[0]}
+    # Three near copies share more than nine tenths of their text: no frame.
+    assert all(found[200 + i].startswith("near0 near1") for i in range(3))
+
+
+def test_odd_pages(spark):
+    rows = [(None, None, None), (1, "", ""), (1, "", ""), (2, "http://a.example", "<p>x</p>" * 20000), (3, "notaurl", "text only")]
+    pages = spark.createDataFrame([(*r, "k") for r in rows], "page_id long, url string, html string, host string")
+    got = sorted(((r["page_id"], r["n_chars"]) for r in html_text.main_text(pages).collect()), key=str)
+    assert got == sorted([(None, 0), (1, 0), (1, 0), (2, 20000 * 3 - 2), (3, 9)], key=str)
+    assert html_text.main_text(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "piece", ["<a b ", "<div>", "</div>", "<a '", "<a \">\" ", "</script ", "<script>", "<!-- ", "<article>", "< ", "<a \"'", "&lt;<b>"]
+)
+def test_parsing_takes_time_in_proportion(piece):
+    import time
+
+    page = piece * (1_000_000 // len(piece))
+    for tail in ("", ">", "'>"):
+        start = time.process_time()
+        html_text.text_blocks(page + tail)
+        assert time.process_time() - start < 8
+
+
+def test_all_articles_and_all_their_parts():
+    page = """<nav>Menu</nav><main><p>Lead</p><article><h1>One</h1><section class="search-results"><p>Found</p></section>
+    <math><mi>x</mi></math><svg><text>Axis</text></svg><object>Figure</object></article>
+    <article><p>Two</p><div class="share">Tell</div><div class="ad">Buy</div></article></main>
+    <aside class="related"><article><p>Teaser</p></article></aside>"""
+    assert html_text.text_blocks(page) == ["One", "Found", "xAxisFigure", "Two", "Tell"]
+    assert html_text.text_blocks('<p title="a>b">c</p>') == ["c"] and html_text.text_blocks("1 < 2 <3> <!-- x") == ["1 < 2 <3>"]
