@@ -79,6 +79,7 @@ PUBLISHED_EVALUATION = {
 # Sub-folders of saved pipelines, suffixes of result tables.
 FITTED_FOLDER = "trainedpipeline"
 UNFITTED_FOLDER = "pipeline"
+WEIGHTS_FOLDER = "weights"
 MODEL_FOLDERS = {"A": "parta", "B": "partb", "DME": "partdme"}
 RESULT_SUFFIXES = [
     "npisuspect",

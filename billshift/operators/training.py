@@ -16,8 +16,9 @@ from billshift import fixed
 from billshift.functions.split import split_bucket
 from billshift.operators.features import feature_stages, fit_features
 from billshift.operators.metrics import regression_metrics
+from billshift.operators.weights import model_weights
 from billshift.sources.readers import read_table
-from billshift.sources.writers import materialise, save_pipeline, write_table
+from billshift.sources.writers import materialise, save_pipeline, save_weights, write_table
 
 
 def random_split(
@@ -153,6 +154,8 @@ def train(
 ) -> PipelineModel:
     """Split, fit, save and evaluate one claim type; writes its evaluation row.
 
+    The model is saved as a pipeline and as a table of weights.
+
     The hold-out predictions are stored beside it (``holdout_path``), and the row is
     computed from the stored table: whoever doubts a metric can compute it again.
 
@@ -171,6 +174,7 @@ def train(
     model = fit(learn, kind)
     seconds = time.perf_counter() - start
     save_pipeline(root, fixed.MODEL_FOLDERS[kind], model)
+    save_weights(root, fixed.MODEL_FOLDERS[kind], model_weights(df.sparkSession, model))
     predictions = holdout_path(metrics_path)
     write_table(holdout_predictions(model, holdout), predictions)
     metrics = regression_metrics(read_table(df.sparkSession, predictions))

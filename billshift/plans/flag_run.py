@@ -12,10 +12,13 @@ from pyspark.sql import functions as F
 from billshift import fixed
 from billshift.operators import audit, effect, reports
 from billshift.operators.metrics import merge_metrics
+from billshift.operators.features import stage_columns
 from billshift.operators.prep import prepare_scoring, with_periods
 from billshift.operators.training import score_marked
+from billshift.operators.weights import score_by_weights
+from billshift.sources import readers
 from billshift.sources.readers import load_pipeline, read_table
-from billshift.sources.writers import publish_increment, register_table, write_table
+from billshift.sources.writers import publish_increment, register_table, replace_table, write_table
 
 
 @dataclass(frozen=True)
@@ -41,19 +44,32 @@ def load_models(root: str) -> dict[str, PipelineModel]:
     return {kind: load_pipeline(root, folder) for kind, folder in fixed.MODEL_FOLDERS.items()}
 
 
+def load_weights(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The weights tables that ``train_all`` stored beside the pipelines."""
+    return {kind: readers.load_weights(spark, root, folder) for kind, folder in fixed.MODEL_FOLDERS.items()}
+
+
 def claims_by_kind(inputs: Inputs) -> dict[str, DataFrame]:
     shared = with_periods(inputs.claims_before, inputs.claims_after)
     own = with_periods(inputs.claims_before_a, inputs.claims_after_a)
     return {"A": own, "B": shared, "DME": shared}
 
 
-def marked_claims(inputs: Inputs, models: Mapping[str, PipelineModel]) -> DataFrame:
-    """Claims of all types, each read once: prediction, and whether the model could score it."""
+def marked_claims(inputs: Inputs, models: Mapping[str, PipelineModel | DataFrame]) -> DataFrame:
+    """Claims of all types, each read once: prediction, and whether the model could score it.
+
+    A model is a fitted pipeline or its weights table; both score alike.
+    """
+
+    def scored(kind: str, claims: DataFrame) -> DataFrame:
+        model, frame = models[kind], prepare_scoring(claims, kind)
+        if isinstance(model, DataFrame):
+            return score_by_weights(frame, model, stage_columns(kind))
+        return score_marked(model, frame)
+
     return merge_metrics(
         [
-            score_marked(models[kind], prepare_scoring(df, kind)).select(
-                *_KEYS, fixed.AMOUNT, "prediction", "scored"
-            )
+            scored(kind, df).select(*_KEYS, fixed.AMOUNT, "prediction", "scored")
             for kind, df in claims_by_kind(inputs).items()
         ]
     )
@@ -62,22 +78,27 @@ def marked_claims(inputs: Inputs, models: Mapping[str, PipelineModel]) -> DataFr
 def run(
     spark: SparkSession,
     inputs: Inputs,
-    models: Mapping[str, PipelineModel],
+    models: Mapping[str, PipelineModel | DataFrame],
     out: str,
     run_date: str,
     schema: str | None = None,
     strict: bool = False,
+    staged: bool = False,
 ) -> DataFrame:
     """Score, test, audit, flag and publish; returns the day's increment.
 
     Each stage is written under ``out`` and read back by the next, so nothing above
     it runs again, whatever executors are lost. Claims are scored once: the provider
     profile, one row per provider, serves the test and the audit. With ``schema``
-    every table is registered there.
+    every table is registered there. ``staged`` replaces the stored tables by versions, so
+    that a run that dies leaves those of the run before (``readers.read_current``).
     """
 
     def store(df: DataFrame, name: str) -> DataFrame:
         path = f"{out.rstrip('/')}/{name}"
+        if staged:
+            replace_table(df, path, None if schema is None else f"{schema}.{name}")
+            return readers.read_current(spark, path)
         write_table(df, path, replace_schema=True)
         if schema is not None:
             return register_table(spark, f"{schema}.{name}", path)

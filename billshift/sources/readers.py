@@ -120,6 +120,15 @@ def pipeline_path(root: str, model_id: str, fitted: bool) -> str:
     return f"{root.rstrip('/')}/{model_id}/{folder}"
 
 
+def weights_path(root: str, model_id: str) -> str:
+    return f"{root.rstrip('/')}/{model_id}/{fixed.WEIGHTS_FOLDER}"
+
+
+def load_weights(spark: SparkSession, root: str, model_id: str) -> DataFrame:
+    """The weights table that ``writers.save_weights`` stored for a model."""
+    return spark.read.parquet(weights_path(root, model_id))
+
+
 def load_pipeline(root: str, model_id: str, kind: str = "pipelinemodel"):
     """A saved ``pipelinemodel`` (fitted) or ``pipeline`` (unfitted)."""
     kinds = {"pipelinemodel": (PipelineModel, True), "pipeline": (Pipeline, False)}

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from billshift import fixed
-from billshift.sources.readers import CURRENT, VERSIONS, pipeline_path
+from billshift.sources.readers import CURRENT, VERSIONS, pipeline_path, weights_path
 
 
 def write_table(
@@ -222,6 +222,13 @@ def save_pipeline(root: str, model_id: str, pipeline: Pipeline | PipelineModel)
     return path
 
 
+def save_weights(root: str, model_id: str, weights: DataFrame) -> str:
+    """Store a model's weights table beside its pipeline, a folder per position; returns the path."""
+    path = weights_path(root, model_id)
+    weights.write.mode("overwrite").partitionBy("position").parquet(path)
+    return path
+
+
 def shared_folder(spark: SparkSession) -> str:
     """This application's part of the folder the cluster names in ``spark.checkpoint.dir``."""
     folder = spark.conf.get("spark.checkpoint.dir", None)

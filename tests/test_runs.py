@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from billshift import fixed
 from billshift.operators import effect, prep, reports, training
 from billshift.plans import flag_run, training_run
-from billshift.sources import star
+from billshift.sources import readers, star
 
 CODES = [*fixed.code_columns("B"), *fixed.NUMBERED_PROCEDURES]
 
@@ -104,3 +104,25 @@ def test_scored_and_skipped_add_up(spark, inputs, trained):
     complete = frame.na.drop(subset=codes).count()
     scored = models["DME"].transform(frame).count()
     assert 0 < scored <= complete < frame.count()
+
+
+def test_weights_score_like_the_pipelines(spark, inputs, trained):
+    tables = flag_run.load_weights(spark, trained[0])
+    columns = [fixed.PROVIDER, fixed.CLAIM_TYPE, "period", fixed.AMOUNT, "scored", F.round("prediction", 6).alias("p")]
+    by_weights = flag_run.marked_claims(inputs, tables).select(columns)
+    by_pipeline = flag_run.marked_claims(inputs, flag_run.load_models(trained[0])).select(columns)
+    assert by_weights.where("scored").count() > 0
+    assert by_weights.exceptAll(by_pipeline).isEmpty() and by_pipeline.exceptAll(by_weights).isEmpty()
+
+
+def test_staged_flag_run(spark, inputs, trained, tmp_path):
+    spark.sql("CREATE SCHEMA IF NOT EXISTS staged_db")
+    tables = flag_run.load_weights(spark, trained[0])
+    out = str(tmp_path)
+    for _ in range(2):
+        published = flag_run.run(spark, inputs, tables, out, star.RUN_DATE, schema="staged_db", staged=True)
+    assert published.count() == inputs.report_list.count()
+    for name in ("provider_profile", "test_result", "all_flags"):
+        current = readers.read_current(spark, f"{out}/{name}")
+        assert spark.table(f"staged_db.{name}").count() == current.count()
+        assert len(list((tmp_path / name / "versions").iterdir())) == 2
