@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from billshift import fixed
-from billshift.operators.weights import score_by_weights
+from billshift.sources.writers import materialise
 
 
 def code_residuals(scored: DataFrame, columns: Sequence[str], label: str = "label") -> DataFrame:
@@ -39,18 +39,19 @@ def subgradients(
     way; ``violation`` is how far from that it is. The feature's mean is taken out,
     as the intercept is free. Features no claim has, or all claims have, have no slope.
     """
-    sums = code_residuals(scored, columns, label)
+    # A row per code; written, as claims are read for it.
+    sums = materialise(code_residuals(scored, columns, label), "code-residuals")
     # Each position sees every claim once: its sums are the totals.
-    totals = sums.where("position = 0").agg(F.sum("n").alias("claims"), F.sum("residual").alias("total"))
+    claims, total = sums.where("position = 0").agg(F.sum("n"), F.sum("residual")).first()
+    claims, total = F.lit(float(claims or 0)), F.lit(float(total or 0))
     features = weights.where(F.col("feature").isNotNull()).select("position", "code", "feature", "weight")
-    share = F.col("n") / F.col("claims")
+    share = F.try_divide("n", claims)
     rows = (
         features.join(sums, ["position", "code"], "left")
         .withColumns({"n": F.coalesce("n", F.lit(0)), "residual": F.coalesce("residual", F.lit(0.0))})
-        .join(F.broadcast(totals))  # one row
-        .withColumn("scale", F.sqrt(share * (1 - share) * F.try_divide("claims", F.col("claims") - 1)))
+        .withColumn("scale", F.sqrt(share * (1 - share) * F.try_divide(claims, claims - 1)))
     )
-    slope = F.try_divide(F.col("residual") - share * F.col("total"), F.col("claims") * F.col("scale"))
+    slope = F.try_divide(F.col("residual") - share * total, claims * F.col("scale"))
     excess = F.when(F.col("weight") == 0, F.greatest(F.abs("slope") - penalty, F.lit(0.0))).otherwise(
         F.abs(F.col("slope") - penalty * F.signum("weight"))
     )
@@ -72,12 +73,9 @@ def duality_gap(
         F.count("*").alias("claims"), F.var_pop(y).alias("spread"), F.covar_pop(y, r).alias("along"), F.var_pop(r).alias("left"),
         F.avg(r).alias("shift"),
     )
-    model = gradients.agg(
-        F.max(F.abs("slope")).alias("steepest"), F.coalesce(F.sum(F.col("scale") * F.abs("weight")), F.lit(0.0)).alias("size")
-    )
-    shrink = F.least(F.lit(1.0), F.coalesce(F.try_divide(F.lit(penalty), F.col("steepest")), F.lit(1.0)))
-    primal = (F.col("left") + F.col("shift") * F.col("shift")) / 2 + penalty * F.col("size")
+    steepest, size = gradients.agg(F.max(F.abs("slope")), F.sum(F.col("scale") * F.abs("weight"))).first()
+    shrink = min(1.0, penalty / steepest) if steepest else 1.0
+    primal = (F.col("left") + F.col("shift") * F.col("shift")) / 2 + penalty * (size or 0.0)
     # Half of y'y - (y - s r)'(y - s r), per claim and about the means.
-    dual = F.col("shrink") * F.col("along") - F.col("shrink") * F.col("shrink") * F.col("left") / 2
-    both = sums.join(F.broadcast(model)).withColumn("shrink", shrink)  # one row each
-    return both.select("claims", primal.alias("primal"), dual.alias("dual"), (primal - dual).alias("gap"))
+    dual = shrink * F.col("along") - shrink * shrink * F.col("left") / 2
+    return sums.select("claims", primal.alias("primal"), dual.alias("dual"), (primal - dual).alias("gap"))

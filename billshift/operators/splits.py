@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,12 +38,18 @@ def cut_hashes(df: DataFrame, hashed: str, by: Sequence[str], percent: int) -> D
         open_ = materialise(open_, "split-open")
         head = F.substring(hashed, 1, digits)
         keys = [unused([*df.columns, wanted, before], f"_by{i}") for i in range(len(by))]
-        groups = open_.toDF(*keys, wanted, prefix, before)
-        same = head.startswith(F.col(prefix))
-        for column, key in zip(by, keys):
-            same = same & F.col(column).eqNullSafe(F.col(key))
-        # One row per group; Spark broadcasts them while they are few by size.
-        inside = df.join(groups, same).groupBy(*keys, wanted, before, head.alias(prefix)).agg(F.count("*").alias(n))
+        if by:
+            groups = open_.toDF(*keys, wanted, prefix, before)
+            same = head.startswith(F.col(prefix))
+            for column, key in zip(by, keys):
+                same = same & F.col(column).eqNullSafe(F.col(key))
+            # One row per group; Spark broadcasts them while they are few by size.
+            marked = df.join(groups, same)
+        else:
+            one = open_.first()
+            marked = df.where(head.startswith(F.lit(one[prefix])))
+            marked = marked.withColumns({wanted: F.lit(one[wanted]), before: F.lit(one[before])})
+        inside = marked.groupBy(*keys, wanted, before, head.alias(prefix)).agg(F.count("*").alias(n))
         order = Window.partitionBy(*keys).orderBy(prefix)
         reached = inside.withColumn(upto, F.col(before) + F.sum(n).over(order))
         reached = reached.where((F.col(upto) >= F.col(wanted)) & (F.col(upto) - F.col(n) < F.col(wanted)))
@@ -71,12 +78,14 @@ def exact_split(
     rows = df.withColumn(hashed, key_hash(keys))
     narrow = materialise(rows.select(*by, hashed), "split-keys")
     cuts = cut_hashes(narrow, hashed, by, train_percent)
+    if not by:
+        found = cuts.first()
+        train = F.col(hashed) < (found["cut"] if found else "")
+        return rows.where(train).select(*df.columns), rows.where(~train).select(*df.columns)
     cut = unused([*df.columns, hashed], "_cut")
     names = [unused([*df.columns, hashed, cut], f"_group{i}") for i in range(len(by))]
     cuts = materialise(cuts.toDF(*names, cut), "split-cuts")
-    same = F.lit(True)
-    for column, name in zip(by, names):
-        same = same & F.col(column).eqNullSafe(F.col(name))
+    same = reduce(lambda a, b: a & b, [F.col(column).eqNullSafe(F.col(name)) for column, name in zip(by, names)])
     # A group too small for a training row has no cut.
     marked = rows.join(cuts, same, "left")
     train = F.coalesce(F.col(hashed) < F.col(cut), F.lit(False))

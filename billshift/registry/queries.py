@@ -401,11 +401,11 @@ def lasso_optimality(spark: SparkSession, sf_dir: str) -> DataFrame:
         table = writers.materialise(lasso.refine(claims, fitted, KINDS[kind]), "weights", ["position"])
         scored = writers.materialise(weights.score_by_weights(claims, table, KINDS[kind]), "scored")
         gradients = writers.materialise(optimality.subgradients(scored, table, KINDS[kind]), "gradients")
-        gap = optimality.duality_gap(scored, gradients)
+        gap = optimality.duality_gap(scored, gradients).first()
         tables.append(
-            gradients.join(F.broadcast(gap.select((F.col("gap") / F.col("primal")).alias("gap_share")))).select(
+            gradients.select(
                 F.lit(kind).alias(fixed.CLAIM_TYPE), "feature", F.col("position").cast("bigint").alias("position"), "code",
-                F.col("n").alias("n_rows"), "scale", "violation", "gap_share",
+                F.col("n").alias("n_rows"), "scale", "violation", F.lit(gap["gap"] / gap["primal"]).alias("gap_share"),
             )
         )
     return _rounded(metrics.merge_metrics(tables), scale=6, violation=2, gap_share=3)

@@ -182,13 +182,11 @@ def code_effects(prepared: DataFrame, columns: Sequence[str]) -> DataFrame:
     before its first missing code.
     """
     rows = prepared.where(F.col("label").isNotNull())
-    # One row.
-    mean = rows.agg(F.avg("label").alias("mean"))
+    mean = F.lit(rows.agg(F.avg("label")).first()[0])
     codes = rows.select("label", F.inline(code_entries(columns))).groupBy("position", "code").agg(F.avg("label").alias("at"))
-    weight = F.round((F.col("at") - F.col("mean")) / len(columns), 2)
-    weights = codes.join(F.broadcast(mean)).select("position", "code", weight.alias("weight"))
-    intercept = mean.select(
-        F.lit(INTERCEPT).alias("position"), F.lit(None).cast("string").alias("code"), F.round("mean", 2).alias("weight")
+    weights = codes.select("position", "code", F.round((F.col("at") - mean) / len(columns), 2).alias("weight"))
+    intercept = rows.sparkSession.range(1).select(
+        F.lit(INTERCEPT).alias("position"), F.lit(None).cast("string").alias("code"), F.round(mean, 2).alias("weight")
     )
     return weights.unionByName(intercept)
 
