@@ -61,14 +61,19 @@ def feature_signs(
             sign[entering] = np.sign(slope[entering])
             active[entering] = True
         on = np.flatnonzero(active)
-        step, wanted, among = np.zeros(len(w)), (slope - penalty * sign)[on], spread[np.ix_(on, on)]
-        solution = np.linalg.lstsq(among, wanted, rcond=1e-10)[0]
-        rest = wanted - among @ solution
-        # Where features depend on each other only the penalty changes along what is left: that
+        step = np.zeros(len(w))
+        size, axes = np.linalg.eigh(spread[np.ix_(on, on)])
+        flat = size <= 1e-10 * size[-1]
+        # Where features depend on each other the loss is flat, and only the penalty changes: that
         # direction comes first, and it ends where a weight becomes zero.
-        free = abs(rest).max() > close
-        step[on] = rest if free else solution
-        curve, fall = step @ spread @ step, slope @ step
+        rest = axes[:, flat] @ (axes[:, flat].T @ (penalty * sign)[on])
+        free = abs(rest).max() > 1e-6 * penalty.max()
+        if free:
+            step[on], curve, fall = -rest, 0.0, 0.0
+        else:
+            steep = axes[:, ~flat]
+            step[on] = steep @ ((steep.T @ (slope - penalty * sign)[on]) / size[~flat])
+            curve, fall = step @ spread @ step, slope @ step
         with np.errstate(divide="ignore", invalid="ignore"):
             zeros = np.where((w != 0) & (step != 0), -w / step, np.inf)
         ends = zeros[(zeros > 0) & (zeros < (np.inf if free else 1.0))]
