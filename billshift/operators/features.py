@@ -108,9 +108,9 @@ def label_arrays(levels: DataFrame, columns: int) -> list:
 
     Sorted across the cluster by range and read in order: the driver holds the
     vocabulary, which is part of the model, and nothing else, and no task holds a column.
+    ``levels`` is read twice: store it first.
     """
     spark = levels.sparkSession
-    levels = materialise(levels, "code-levels")
     sizes = {r["position"]: r["n"] for r in levels.groupBy("position").agg(F.count("*").alias("n")).collect()}
     strings = spark.sparkContext._jvm.org.apache.spark.sql.Encoders.STRING()
     codes = getattr(levels.orderBy(*_level_order()).select("code")._jdf, "as")(strings).collect()
@@ -129,10 +129,11 @@ def fit_features(df: DataFrame, kind: str, levels: DataFrame | None = None) -> l
     are grouped and sorted across the cluster and only the vocabulary, which is part of the
     model, comes to the driver. Columns with a single level carry no information and
     cannot be one-hot encoded: they stay indexed, so their null and unseen codes still
-    skip rows, and leave the vector. ``levels``: the type's ``code_levels``, if at hand.
+    skip rows, and leave the vector. ``levels``: the type's stored ``code_levels``, if at hand.
     """
     columns = stage_columns(kind)
-    vocabulary = label_arrays(code_levels(df, columns) if levels is None else levels, len(columns))
+    levels = materialise(code_levels(df, columns), "code-levels") if levels is None else levels
+    vocabulary = label_arrays(levels, len(columns))
     empty = [c for c, labels in zip(columns, vocabulary) if len(labels) == 0]
     if empty:
         raise ValueError(f"no claim has a value in {empty} and in every column before")
