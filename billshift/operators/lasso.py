@@ -11,11 +11,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from billshift import fixed
-from billshift.operators.weights import INTERCEPT, SCHEMA, look_up
+from billshift.operators.coded import code_moments
+from billshift.operators.weights import INTERCEPT, SCHEMA
 
 #: Features whose pairs the driver holds at most; Spark ML's normal equations have the same limit.
 MOST_FEATURES = 4096
@@ -27,15 +29,49 @@ def code_pairs(claims: DataFrame, weights: DataFrame, columns: Sequence[str], la
     Feature -1 is set on every claim the model can score. Counted per task before the shuffle:
     at most the square of the number of features, however many claims there are.
     """
-    indexed = weights.withColumn("feature", F.col("feature").cast("int"))
-    frame, codes, features = look_up(claims.where(F.col(label).isNotNull()), indexed, columns, "feature")
-    known = frame.na.drop(subset=codes)
-    on = F.array_compact(F.array(F.lit(INTERCEPT), *features))
-    pairs = F.flatten(
-        F.transform(on, lambda a: F.transform(F.filter(on, lambda b: b >= a), lambda b: F.struct(a.alias("a"), b.alias("b"))))
-    )
-    rows = known.select(F.col(label).cast("double").alias("label"), F.inline(pairs))
-    return rows.groupBy("a", "b").agg(F.count("*").alias("n"), F.sum("label").alias("labels"))
+    codes: list[list[str]] = [[] for _ in columns]
+    features: list[list[int]] = [[] for _ in columns]
+    for position, code, feature in weights.select("position", "code", "feature").collect():
+        if position != INTERCEPT and code is not None:
+            codes[position].append(code)
+            features[position].append(-1 if feature is None else feature)
+    return code_moments(claims, columns, codes, features, label).select("a", "b", "n", "labels")
+
+
+def moment_rows(spark: SparkSession, moments: DataFrame, size: int) -> DataFrame | None:
+    """As many rows of ``features, label`` as there are features, with the claims' means and covariances.
+
+    The least squares of the claims, penalised or not, is the one of these rows: the normal
+    equations hold nothing but these moments. ``moments`` as from ``code_moments``; None without claims.
+    """
+    count, labels, squares = np.zeros((size + 1, size + 1)), np.zeros(size + 1), 0.0
+    for a, b, n, total, square in moments.collect():
+        # Place 0 is the feature that every claim has.
+        count[a + 1, b + 1] = count[b + 1, a + 1] = n
+        if a == INTERCEPT:
+            labels[b + 1] = total
+            squares += square
+    if not count[0, 0]:
+        return None
+    mean = np.append(count[0, 1:], labels[0]) / count[0, 0]
+    spread = np.zeros((size + 1, size + 1))
+    spread[:size, :size] = count[1:, 1:] / count[0, 0]
+    spread[size] = spread[:, size] = np.append(labels[1:], squares) / count[0, 0]
+    spread -= np.outer(mean, mean)
+    # What does not vary stays exactly at its mean.
+    vary = np.flatnonzero(np.diag(spread) > 0)
+    scale = np.sqrt(np.diag(spread)[vary])
+    power, axes = np.linalg.eigh(spread[np.ix_(vary, vary)] / np.outer(scale, scale))
+    root = scale[:, None] * axes * np.sqrt(power.clip(0))
+    # Helmert's contrasts: orthogonal to each other and to the mean.
+    k = len(vary)
+    low = np.arange(1, k + 1)
+    contrasts = np.where(np.arange(k + 1)[:, None] < low, 1.0, 0.0) / np.sqrt(low * (low + 1.0))
+    contrasts[low, low - 1] = -np.sqrt(low / (low + 1.0))
+    rows = np.tile(mean, (k + 1, 1))
+    rows[:, vary] += np.sqrt(k + 1) * contrasts @ root.T
+    schema = StructType([StructField("features", VectorUDT()), StructField("label", DoubleType())])
+    return spark.createDataFrame([(Vectors.dense(row[:size]), float(row[size])) for row in rows], schema)
 
 
 def feature_signs(

@@ -6,17 +6,19 @@ import time
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StringIndexerModel
-from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.ml import Pipeline, PipelineModel, Transformer
+from pyspark.ml.feature import OneHotEncoderModel, StringIndexerModel, VectorAssembler
+from pyspark.ml.regression import LinearRegression, LinearRegressionModel
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from billshift import fixed
 from billshift.functions.split import split_bucket
-from billshift.operators.features import feature_stages, fit_features
+from billshift.operators.coded import MOST_CODES, code_moments, predictor
+from billshift.operators.features import feature_stages, fit_features, stage_columns
+from billshift.operators.lasso import moment_rows
 from billshift.operators.metrics import regression_metrics
-from billshift.operators.weights import model_weights
+from billshift.operators.weights import code_weights, indexed_columns, model_weights, vocabulary
 from billshift.sources.readers import read_table
 from billshift.sources.writers import materialise, save_pipeline, save_weights, write_table
 
@@ -71,21 +73,69 @@ def fit(
 ) -> PipelineModel:
     """Fit the pipeline of one claim type; claims without a label are left out.
 
-    Each task of the regression sends a buffer as large as the model's matrix or
-    gradient; ``aggregation_depth`` merges them in steps. The number of tasks follows
-    the input, not the cores that happen to be registered. ``levels``: the vocabulary of
+    Where Spark ML solves normal equations, their moments are counted from the codes
+    (``code_moments``) and the regression is fitted to rows that have the same
+    (``moment_rows``), so it keeps no training summary. Otherwise it is fitted to a vector per claim:
+    each task sends a buffer as large as the model's gradient, and ``aggregation_depth``
+    merges them in steps. ``levels``: the vocabulary of
     the labelled claims (``code_levels``), if it has been counted already.
     """
     labelled = df.where(F.col("label").isNotNull())
     stages = fit_features(labelled, kind, levels)
+    regressor = regressor or charge_regressor(aggregation_depth)
+    rows = _same_moments(labelled, kind, stages, regressor)
+    if rows is not None:
+        fitted = regressor.fit(rows)
+        # It would tell of those rows.
+        fitted._java_obj.setSummary(df.sparkSession._jvm.scala.Option.empty())
+        return PipelineModel([*stages, fitted])
     features = PipelineModel(stages).transform(labelled).select("features", "label")
-    fitted = (regressor or charge_regressor(aggregation_depth)).fit(features)
-    return PipelineModel([*stages, fitted])
+    return PipelineModel([*stages, regressor.fit(features)])
+
+
+def _same_moments(labelled: DataFrame, kind: str, stages: Sequence[Transformer], regressor: LinearRegression) -> DataFrame | None:
+    """``moment_rows`` of the claims, if the regressor needs no more and a task can hold the codes."""
+    plain = regressor.getLoss() == "squaredError" and regressor.getSolver() in ("auto", "normal") and not regressor.isSet("weightCol")
+    if not plain or _codes(stages) > MOST_CODES:
+        return None
+    found = vocabulary(stages)
+    codes, features = [c for c, _ in found], [[-1 if f is None else f for f in fs] for _, fs in found]
+    size = 1 + max((f for fs in features for f in fs), default=-1)
+    return moment_rows(labelled.sparkSession, code_moments(labelled, stage_columns(kind), codes, features), size)
+
+
+def _codes(stages: Sequence[Transformer]) -> int:
+    """How many codes the stages know, without bringing them to Python."""
+    indexers = [s for s in stages if isinstance(s, StringIndexerModel)]
+    return sum(len(labels) for s in indexers for labels in s._java_obj.labelsArray())
+
+
+def _predictor(model: PipelineModel) -> Column | None:
+    """The model's prediction as a sum of looked-up weights, null where it would skip the claim.
+
+    None if the pipeline is not one of ``fit`` or knows more codes than a task should hold.
+    """
+    if len(model.stages) < 4:
+        return None
+    *indexers, encoder, assembled, regression = model.stages
+    kinds = [StringIndexerModel] * len(indexers) + [OneHotEncoderModel, VectorAssembler, LinearRegressionModel]
+    if not all(map(isinstance, model.stages, kinds)) or _codes(indexers) > MOST_CODES:
+        return None
+    outputs = [o for s in indexers for o in (s.getOutputCols() if s.isSet("outputCols") else [s.getOutputCol()])]
+    in_order = [o for o in outputs if o in encoder.getInputCols()] == encoder.getInputCols()
+    whole = in_order and encoder.getOutputCols() == assembled.getInputCols() and encoder.getDropLast()
+    if not whole or any(s.getHandleInvalid() != "skip" for s in indexers) or regression.getPredictionCol() != "prediction":
+        return None
+    codes = [labels for labels, _ in vocabulary(model.stages)]
+    return predictor(codes, code_weights(model), regression.intercept)(*indexed_columns(model))
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
     """Add ``prediction``; rows with a null or unseen code drop out."""
-    return model.transform(df.drop("prediction"))
+    frame, prediction = df.drop("prediction"), _predictor(model)
+    if prediction is None:
+        return model.transform(frame)
+    return frame.withColumn("prediction", prediction).where(F.col("prediction").isNotNull())
 
 
 def score_marked(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -94,6 +144,11 @@ def score_marked(model: PipelineModel, df: DataFrame) -> DataFrame:
     The indexers keep such codes at an index beyond their levels. Those claims pass the
     later stages with first levels instead, so one scan serves scored and skipped alike.
     """
+    prediction = _predictor(model)
+    if prediction is not None:
+        frame = df.drop("prediction", "scored")
+        looked_up = frame.withColumn("prediction", prediction)
+        return looked_up.select(*frame.columns, F.col("prediction").isNotNull().alias("scored"), "prediction")
     indexers = [s for s in model.stages if isinstance(s, StringIndexerModel)]
     frame, known, indexed = df.drop("prediction", "scored"), F.lit(True), []
     for stage in indexers:
