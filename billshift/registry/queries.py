@@ -269,7 +269,9 @@ KINDS = {kind: features.stage_columns(kind) for kind in fixed.CLAIM_TYPES}
 def _stored_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Claims of all types with all codes, joined and written once, a folder per type."""
     claims = star.claims(spark, sf_dir, codes=ALL_CODES).where(F.col(fixed.CLAIM_TYPE).isNotNull())
-    return writers.materialise(claims, "claims", [fixed.CLAIM_TYPE])
+    wanted = list(dict.fromkeys(c for kind in fixed.CLAIM_TYPES for c in prep.scoring_columns(kind)))
+    codes = [c for c in ALL_CODES if c not in wanted]
+    return writers.materialise(claims.select(*wanted, *codes, "period", fixed.CLAIM_TYPE), "claims", [fixed.CLAIM_TYPE])
 
 
 def _stored_training(claims: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -336,7 +338,7 @@ def scored_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Claims per type and period, and how many the saved and reloaded model scores."""
     root = writers.scratch_path(spark, "models")
     stored = _stored_claims(spark, sf_dir)
-    learn = _stored_training(stored.where(F.col("period") == "before"))
+    learn = prep.prepare_training_types(stored.where(F.col("period") == "before"))
     tables = []
     for kind in fixed.CLAIM_TYPES:
         writers.save_pipeline(root, fixed.MODEL_FOLDERS[kind], training.fit(prep.training_of(learn, kind), kind))
@@ -376,7 +378,7 @@ def ml_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ml_train_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Test results with predictions of the fitted regressions instead of the line."""
     stored = _stored_claims(spark, sf_dir)
-    learn = _stored_training(stored.where(F.col("period") == "before"))
+    learn = prep.prepare_training_types(stored.where(F.col("period") == "before"))
     scored = []
     for kind in fixed.CLAIM_TYPES:
         model = training.fit(prep.training_of(learn, kind), kind)
@@ -422,7 +424,7 @@ def _effects(learn: DataFrame) -> dict[str, DataFrame]:
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Claims of all types, both periods, scored by stored weights, with their residuals."""
     stored = _stored_claims(spark, sf_dir)
-    table = _effects(_stored_training(stored.where(F.col("period") == "before")))
+    table = _effects(prep.prepare_training_types(stored.where(F.col("period") == "before")))
     scored = [
         weights.score_by_weights(prep.prepare_scoring(stored, kind), table[kind], columns).where("scored")
         for kind, columns in KINDS.items()
