@@ -6,16 +6,21 @@ that reach from [l, c] to [c, r] have their minimum at c. The windows are the no
 wide enough, of the sequence's Cartesian tree. Two passages with similarity J have
 the same minimum with probability J, equal passages always.
 
-1. Each window of ``HASHES`` functions gives two keys: its minimum with the ``RUN``
-   shingles that begin there, and with those that end there. A passage of 50 words at
-   0.8 has at most one changed word, so that a long run of it is equal; documents that
-   share a line shorter than the run do not meet.
+1. At 0.8 a passage holds ``STRETCH`` equal shingles in a row. The windows are taken over the hashes
+   of the runs of ``SHORT`` shingles, as wide as such a stretch; the run at a window's minimum is a
+   key. Equal stretches have the same windows, so passages always meet (``stretch_keys``);
+   documents that share a line shorter than the run do not.
 2. Keys are shuffled, packed by bucket; documents that share a key form a group.
 3. In each group documents are compared with one leader. Candidate pairs are
    verified on their shingle sequences: matches are chained along the diagonal and a
-   chain counts if both sides are wide enough and similar at 0.8 or more.
-4. Places that a verified passage covers are settled. The rest of each group chooses
-   new leaders, twice as many each time, until no group has two left.
+   chain counts if both sides are wide enough and similar at 0.8 or more, also after what differs
+   beside it has made it wide enough.
+4. Places that a passage verified with a leader of the group covers are settled. The rest of each group
+   chooses new leaders, twice as many each time, that are compared with all of the group, the settled
+   rows included.
+
+Not compared: two rows of a group that different leaders have settled. Passages keep the order of their
+words, and of shingles that repeat within one the nearest are chained.
 """
 
 from __future__ import annotations
@@ -43,6 +48,15 @@ HASHES = 3
 #: equal passages always meet. A lower value meets more passages with a change inside,
 #: and more documents that share a line only.
 RUN = 18
+#: Equal shingles in a row that a passage at the threshold has: at 0.8 the shingles that differ on
+#: both sides are at most a quarter of the equal ones. Where equal stretches part, at least 8 differ (four
+#: on each side), so of 46 shingles 41 are equal in two stretches at most, and in wider
+#: passages the longest is longer.
+STRETCH = 21
+#: Shingles of a key. Documents that share a shorter line only do not meet; a lower value gives fewer keys.
+SHORT = 14
+#: Equal shingles of two passages at the threshold, at least: with fewer the widths cannot both be ``WIDTH``.
+LEAST = -(-NUM * 2 * WIDTH // (DEN + NUM))
 #: Shingles a chain may skip, and the shift it may take there.
 GAP = 16
 _SLICE_BYTES = 1 << 20
@@ -80,22 +94,24 @@ def _sliding(op: np.ufunc, x: np.ndarray, width: int) -> np.ndarray:
     return op(x[: done - width], x[width - done :]) if done < width else x
 
 
-def compact_windows(values: np.ndarray, inside: np.ndarray, run: int = RUN) -> tuple[np.ndarray, np.ndarray]:
+def compact_windows(
+    values: np.ndarray, inside: np.ndarray, run: int = RUN, width: int = WIDTH
+) -> tuple[np.ndarray, np.ndarray]:
     """Minima of the compact windows, all sequences at once: those whose window reaches
     ``run`` places on, and those whose window reaches as far back, themselves counted.
 
-    The nodes of the Cartesian tree that span ``WIDTH`` are its top; their minima are
-    just the places that are least in some passage of full width (all of equal ones). So
-    the narrow nodes below need not be built. ``inside``: places where a passage of full
+    The nodes of the Cartesian tree that span ``width`` are its top; their minima are
+    just the places that are least in some passage of that width (all of equal ones). So
+    the narrow nodes below need not be built. ``inside``: places where a passage of that
     width begins that stays in its sequence.
     """
     n = len(values)
-    if n < WIDTH:
+    if n < width:
         return (np.zeros(0, np.int64),) * 2
     least = np.zeros(n, np.uint64)
-    least[: n - WIDTH + 1] = np.where(inside[: n - WIDTH + 1], _sliding(np.minimum, values, WIDTH), np.uint64(0))
+    least[: n - width + 1] = np.where(inside[: n - width + 1], _sliding(np.minimum, values, width), np.uint64(0))
     # Greatest of the minima of the passages that hold the run which begins at a place.
-    among = WIDTH - run + 1
+    among = width - run + 1
     held = _sliding(np.maximum, np.concatenate([np.zeros(among - 1, np.uint64), least]), among)
     begins = held == values
     ends = held[: n - run + 1] == values[run - 1 :]
@@ -103,7 +119,9 @@ def compact_windows(values: np.ndarray, inside: np.ndarray, run: int = RUN) -> t
 
 
 def window_keys(shingles: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Keys of sequences, the number of the sequence of each, and the place of a minimum there.
+    """Keys by the minima of ``HASHES`` functions, which most passages share; ``stretch_keys`` all share.
+
+    Keys of sequences, the number of the sequence of each, and the place of a minimum there.
 
     A key is the ``RUN`` shingles that begin or end at the minimum of a window, as far as
     they are in the window. A passage of full width around a minimum holds one of the two.
@@ -131,6 +149,30 @@ def window_keys(shingles: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np
     return key[fresh], owner[fresh], (place - first[owner])[fresh]
 
 
+def stretch_keys(shingles: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As ``window_keys``, such that sequences with ``STRETCH`` equal shingles in a row share a key, always.
+
+    A key is a run of ``SHORT`` shingles, the least by hash in a compact window of as many runs as
+    begin in such a stretch with room for them: an equal stretch has the same windows.
+    """
+    first, n = np.cumsum(sizes) - sizes, len(shingles)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    runs = max(n - SHORT + 1, 0)
+    value = np.zeros(runs, np.uint64)
+    for i in range(SHORT):
+        value = value * np.uint64(0x9E3779B97F4A7C15) + shingles[i : i + runs]
+    value = mix(value)
+    # Zero bars a place: windows of a stretch that leaves its sequence are not ``inside``.
+    inside = np.arange(runs) - first[owner[:runs]] + STRETCH <= sizes[owner[:runs]]
+    place, _ = compact_windows(np.maximum(value, np.uint64(1)), inside, 1, STRETCH - SHORT + 1)
+    key, owner = value[place], owner[place]
+    order = np.lexsort((key, owner))
+    key, owner, place = key[order], owner[order], place[order]
+    fresh = np.ones(len(key), bool)
+    fresh[1:] = (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])
+    return key[fresh], owner[fresh], (place - first[owner])[fresh]
+
+
 def _first_pass(buckets: int):
     names = [f.split()[0] for f in _FIRST.split(", ")]
 
@@ -157,7 +199,7 @@ def _first_pass(buckets: int):
                 if not take:
                     continue
                 starts, some = (np.cumsum(sizes) - sizes)[take], sizes[take]
-                key, owner, place = window_keys(shingles[ranges(starts, some)], some)
+                key, owner, place = stretch_keys(shingles[ranges(starts, some)], some)
                 owner = ids[take][owner]
                 bucket = (key % np.uint64(buckets)).astype(np.int32)
                 order = np.argsort(bucket, kind="stable")
@@ -218,9 +260,9 @@ def _wide_runs(matched: np.ndarray, b: np.ndarray) -> np.ndarray:
     kept = [np.zeros(0, np.int64)]
     for run in np.split(matched, cuts) if len(matched) else ():
         wide = run[-1] - run[0] + 1
-        if wide < WIDTH:
+        if wide < LEAST:
             continue
-        if DEN * len(run) >= NUM * WIDTH or len(np.unique(b[run[0] : run[-1] + 1])) < wide:
+        if len(run) >= LEAST or len(np.unique(b[run[0] : run[-1] + 1])) < wide:
             kept.append(run)
     return np.concatenate(kept)
 
@@ -268,23 +310,90 @@ def _chained_stretches(i: np.ndarray, j: np.ndarray) -> list[tuple[np.ndarray, n
 
 
 def passages(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int, int, int]]:
-    """Near-duplicate passages: (first, last) shingle in ``a``, then in ``b``."""
-    out, open_ = [], _chains(a, b)
+    """Near-duplicate passages: (first, last) shingle in ``a``, then in ``b``.
+
+    Parts of a chain that are not alike when it is cut at its gaps are searched for any that are.
+    """
+    out: list[tuple[int, int, int, int]] = []
+    for chain in _chains(a, b):
+        found, rest = _halved(a, b, chain)
+        out += found
+        for i, j in rest:
+            out += _any_alike(a, b, i, j)
+    return out
+
+
+def _halved(a: np.ndarray, b: np.ndarray, chain: tuple[np.ndarray, np.ndarray]) -> tuple[list, list]:
+    """Passages of a chain that is cut at its widest gaps until the parts are alike, and the parts beside them."""
+    out, rest, open_ = [], [], [chain]
     while open_:
         i, j = open_.pop()
         if min(i[-1] - i[0], j[-1] - j[0]) + 1 < WIDTH:
+            # Parts come from the last to the first; those side by side are one again.
+            if rest and rest[-1][2]:
+                rest[-1] = (np.concatenate([i, rest[-1][0]]), np.concatenate([j, rest[-1][1]]), True)
+            else:
+                rest.append((i, j, True))
             continue
         x, y = np.unique(a[i[0] : i[-1] + 1]), np.unique(b[j[0] : j[-1] + 1])
         both = len(np.intersect1d(x, y, assume_unique=True))
         if DEN * both >= NUM * (len(x) + len(y) - both):
             out.append((int(i[0]), int(i[-1]), int(j[0]), int(j[-1])))
+            rest = [(*part[:2], False) for part in rest]
             continue
         # Not alike as a whole: cut at the widest gap and try both parts.
         cut = int(np.argmax(np.diff(i) + np.diff(j))) + 1
         open_ += [(i[:cut], j[:cut]), (i[cut:], j[cut:])]
+    return out, [part[:2] for part in rest]
+
+
+def _any_alike(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) -> list[tuple[int, int, int, int]]:
+    """Passages from the begin of one equal stretch of a chain to the end of another, the widest from each begin.
+
+    Narrower ones are widened by what differs beside them. A passage that ends within a stretch
+    is no more alike than one that goes on to its end.
+    """
+    if len(i) < 2 or len(i) < LEAST and len(np.unique(b[j[0] : j[-1] + 1])) == j[-1] - j[0] + 1:
+        return []
+    cuts = np.flatnonzero((np.diff(i) != 1) | (np.diff(j) != 1)) + 1
+    heads, tails = np.append(0, cuts), np.append(cuts, len(i)) - 1
+    x, y = a[i[0] : i[-1] + 1], b[j[0] : j[-1] + 1]
+    repeats = len(np.unique(x)) < len(x) or len(np.unique(y)) < len(y)
+    out, covered = [], -1
+    for s, head in enumerate(heads.tolist()):
+        ends = tails[s:]
+        if repeats:
+            both, left, right = _distinct(a, b, i, j, head, ends)
+        else:
+            both, left, right = ends - head + 1, i[ends] - i[head] + 1, j[ends] - j[head] + 1
+        # Where it is narrower than a passage, what it is widened by counts as different.
+        left = left + np.maximum(WIDTH - (i[ends] - i[head] + 1), 0)
+        right = right + np.maximum(WIDTH - (j[ends] - j[head] + 1), 0)
+        alike = np.flatnonzero(DEN * both >= NUM * (left + right - both))
+        if len(alike) and ends[alike[-1]] > covered:
+            covered = ends[alike[-1]]
+            out.append((*_widened(i[head], i[covered], len(a)), *_widened(j[head], j[covered], len(b))))
     return out
 
 
+def _distinct(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray, head: int, ends: np.ndarray) -> tuple:
+    """Different shingles from one place of a chain to each of ``ends``: in both, in ``a``, in ``b``."""
+    sides = []
+    for values, at in ((a, i), (b, j)):
+        kinds, first = np.unique(values[at[head] : at[ends[-1]] + 1], return_index=True)
+        sides.append((kinds, np.searchsorted(at[ends] - at[head], first)))
+    _, p, q = np.intersect1d(sides[0][0], sides[1][0], assume_unique=True, return_indices=True)
+    count = lambda at: np.cumsum(np.bincount(at, minlength=len(ends)))
+    return count(np.maximum(sides[0][1][p], sides[1][1][q])), count(sides[0][1]), count(sides[1][1])
+
+
+def _widened(first: int, last: int, size: int) -> tuple[int, int]:
+    """The range, as wide as a passage at least, within the sequence."""
+    more = max(WIDTH - (last - first + 1), 0)
+    low = max(min(first - more // 2, size - WIDTH), 0) if more else first
+    return int(low), int(max(last, low + WIDTH - 1) if more else last)
+
+
 _SPANS = "seq_id long, other long, first int, last int"
 
 
@@ -366,49 +475,61 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
         return materialise(sides.select("a", "b", "left", "right").mapInArrow(_verify, _SPANS), name)
 
     def led(rows: DataFrame, leaders: int) -> DataFrame:
-        """Rows of groups with two left, and which of them lead: the smallest, and about
-        as many more by hash as makes ``leaders``."""
-        groups = rows.groupBy("grp").agg(F.min("seq_id").alias("least"), F.count("*").alias("n")).where("n > 1")
+        """Rows still to be compared, and which of them lead: the smallest of a group, and about
+        as many more by hash as makes ``leaders``. A row alone has been compared with all but the settled rows."""
+        groups = rows.groupBy("grp").agg(F.min("seq_id").alias("least"), F.count("*").alias("n"), F.max("settled").alias("some"))
+        groups = groups.where("n > 1 or some").drop("some")
         drawn = F.pmod(F.xxhash64("seq_id"), F.ceil(F.col("n") / (leaders - 1))) == 0 if leaders > 1 else F.lit(False)
         leads = (F.col("seq_id") == F.col("least")) | drawn
-        return rows.join(groups.hint("merge"), "grp").select("grp", "seq_id", "at", leads.alias("leads"))
+        return rows.join(groups.hint("merge"), "grp").select("grp", "seq_id", "at", "settled", leads.alias("leads"))
 
     def against_leaders(rows: DataFrame) -> DataFrame:
+        """Each leader and every row of its group, those settled before included."""
         leaders = rows.where("leads").select("grp", F.col("seq_id").alias("leader"))
-        pairs = rows.select("grp", "seq_id", "leads").join(leaders.hint("merge"), "grp")
-        once = ~F.col("leads") | (F.col("seq_id") > F.col("leader"))
-        return pairs.where((F.col("seq_id") != F.col("leader")) & once)
+        pairs = members.select("grp", "seq_id").join(leaders.hint("merge"), "grp")
+        return pairs.where(F.col("seq_id") != F.col("leader"))
 
     def unsettled(rows: DataFrame, spans: DataFrame) -> DataFrame:
-        cover = spans.select(F.col("seq_id").alias("_seq"), "first", "last").hint("merge")
-        hit = (F.col("seq_id") == F.col("_seq")) & F.col("at").between(F.col("first"), F.col("last"))
-        return rows.join(cover, hit, "left_anti")
+        """Rows that do not lead, without those that a passage shared with a leader of the same group covers.
 
+        A passage shared with another document says nothing of the rest of this group.
+        """
+        leaders = rows.where("leads").select("grp", F.col("seq_id").alias("leader"))
+        follow = rows.where("not leads")
+        cover = spans.select(F.col("seq_id").alias("_seq"), "other", "first", "last").hint("merge")
+        hit = (F.col("seq_id") == F.col("_seq")) & (F.col("leader") == F.col("other")) & F.col("at").between(F.col("first"), F.col("last"))
+        settled = materialise(
+            follow.join(leaders.hint("merge"), "grp").join(cover, hit, "left_semi").select("grp", "seq_id").distinct(), "substring-settled"
+        )
+        left = follow.join(settled.hint("merge"), ["grp", "seq_id"], "left_anti")
+        some = settled.select("grp", F.lit(True).alias("_some")).distinct()
+        left = left.join(some.hint("merge"), "grp", "left")
+        return left.select("grp", "seq_id", "at", F.coalesce("_some", "settled").alias("settled"))
+
+    members = open_
     # First each document with one leader only, which settles whole copies cheaply.
-    near = against_leaders(led(open_, 1)).groupBy("seq_id").agg(F.min("leader").alias("leader"))
+    every = materialise(led(open_.withColumn("settled", F.lit(False)), 1), "substring-led")
+    near = against_leaders(every).groupBy("seq_id").agg(F.min("leader").alias("leader"))
     # Verifying a pair finds all its passages: no pair is verified twice.
     tried = materialise(_ordered_pairs(near), "substring-tried")
-    spans = [verified(tried, "substring-spans")]
-    open_ = materialise(unsettled(open_, spans[0]), "substring-open")
-    # Twice as many leaders each time: as many rounds as a group's size has bits.
+    spans = verified(tried, "substring-spans")
+    # Then the rest with the leaders of all its groups, and with twice as many each time: as many
+    # rounds as a group's size has bits.
+    follow = unsettled(every, spans).withColumn("leads", F.lit(False))
+    every = materialise(follow.unionByName(every.where("leads")), "substring-led")
     leaders = 1
     while True:
-        every = materialise(led(open_, leaders), "substring-led")
-        if every.limit(1).count() == 0:
-            break
         fresh = _ordered_pairs(against_leaders(every)).join(tried.hint("merge"), ["a", "b"], "left_anti")
         fresh = materialise(fresh, "substring-tried")
-        spans.append(verified(fresh, "substring-spans"))
+        spans = materialise(spans.union(verified(fresh, "substring-fresh")), "substring-spans")
         tried = tried.union(fresh)
-        # Leaders have been compared with all of their group.
-        left = every.where("not leads").select("grp", "seq_id", "at")
-        open_ = materialise(unsettled(left, spans[-1]), "substring-open")
+        open_ = unsettled(every, spans)
+        every = materialise(led(open_, leaders), "substring-led")
+        if every.limit(1).count() == 0:
+            break
         leaders *= 2
 
-    found = spans[0]
-    for more in spans[1:]:
-        found = found.union(more)
-    found = materialise(found, "substring-found")
+    found = spans
     # Documents that share passages, directly or through others, form a class.
     label = components(found.select(F.col("seq_id").alias("a"), F.col("other").alias("b")).distinct())
     member = label.join(classes.select(F.col("seq_id").alias("id"), "rep").hint("merge"), "id")
