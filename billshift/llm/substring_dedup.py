@@ -15,9 +15,11 @@ the same minimum with probability J, equal passages always.
    verified on their shingle sequences: matches are chained along the diagonal and a
    chain counts if both sides are wide enough and similar at 0.8 or more, also after what differs
    beside it has made it wide enough.
-4. Places that a passage verified with a leader of the group covers are settled. The rest of each group
-   chooses new leaders, twice as many each time, that are compared with all of the group, the settled
-   rows included.
+4. Places that a passage verified with a leader of the group covers are settled. Where rows are left, the
+   group is dealt into smaller ones by the shingles beside the key that its leader does not have
+   (``_context_keys``): rows that can share a passage there share one of them, rows that share a line do not.
+5. The rest of each of these chooses new leaders, twice as many each time, that are compared with all of
+   it, the settled rows included.
 
 Not compared: two rows of a group that different leaders have settled. Passages keep the order of their
 words, and of shingles that repeat within one the nearest are chained.
@@ -59,6 +61,9 @@ SHORT = 14
 LEAST = -(-NUM * 2 * WIDTH // (DEN + NUM))
 #: Shingles a chain may skip, and the shift it may take there.
 GAP = 16
+#: Shingles beside a key, on either side, among which rows of a group that share a passage there have
+#: ``LEAST`` in common: the rest of a stretch with the key, a gap, and what the next stretch must add.
+BESIDE = LEAST - SHORT + GAP
 _SLICE_BYTES = 1 << 20
 
 _FIRST = "bucket int, keys binary, owners binary, places binary, doc_id long, n_words long, seq_id long"
@@ -153,7 +158,8 @@ def stretch_keys(shingles: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, n
     """As ``window_keys``, such that sequences with ``STRETCH`` equal shingles in a row share a key, always.
 
     A key is a run of ``SHORT`` shingles, the least by hash in a compact window of as many runs as
-    begin in such a stretch with room for them: an equal stretch has the same windows.
+    begin in such a stretch with room for them: an equal stretch has the same windows. A key that a
+    sequence repeats is given again ``WIDTH`` places on, or further: it has other neighbours there.
     """
     first, n = np.cumsum(sizes) - sizes, len(shingles)
     owner = np.repeat(np.arange(len(sizes)), sizes)
@@ -166,11 +172,21 @@ def stretch_keys(shingles: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, n
     inside = np.arange(runs) - first[owner[:runs]] + STRETCH <= sizes[owner[:runs]]
     place, _ = compact_windows(np.maximum(value, np.uint64(1)), inside, 1, STRETCH - SHORT + 1)
     key, owner = value[place], owner[place]
-    order = np.lexsort((key, owner))
+    place = place - first[owner]
+    order = np.lexsort((place, key, owner))
     key, owner, place = key[order], owner[order], place[order]
-    fresh = np.ones(len(key), bool)
-    fresh[1:] = (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])
-    return key[fresh], owner[fresh], (place - first[owner])[fresh]
+    fresh = _spaced(key, owner, place)
+    return key[fresh], owner[fresh], place[fresh]
+
+
+def _spaced(key: np.ndarray, owner: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Of sorted places of the same key and owner the first in each stretch of ``WIDTH`` places, and the first."""
+    other = np.ones(len(key), bool)
+    other[1:] = (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])
+    start = place[np.flatnonzero(other)][np.cumsum(other) - 1] if len(key) else place
+    stretch = (place - start) // WIDTH
+    other[1:] |= stretch[1:] != stretch[:-1]
+    return other
 
 
 def _first_pass(buckets: int):
@@ -227,14 +243,13 @@ def _second_pass(table: pa.Table) -> pa.Table:
     )
     order = np.lexsort((place, owner, key))
     key, owner, place = key[order], owner[order], place[order]
+    # A sequence may come from several tasks.
     fresh = np.ones(len(key), bool)
-    fresh[1:] = (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])
+    fresh[1:] = (key[1:] != key[:-1]) | (owner[1:] != owner[:-1]) | (place[1:] != place[:-1])
     key, owner, place = key[fresh], owner[fresh], place[fresh]
-    shared = np.zeros(len(key), bool)
-    if len(key) > 1:
-        same = key[1:] == key[:-1]
-        shared[1:] |= same
-        shared[:-1] |= same
+    heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    sizes = np.diff(np.append(heads, len(key)))
+    shared = np.repeat(owner[heads] != owner[heads + sizes - 1], sizes)
     key, owner, place = key[shared].view(np.int64), owner[shared], place[shared]
     n, k = docs.num_rows, len(key)
     joined = lambda c, rest: pa.concat_arrays([*docs.column(c).chunks, rest])
@@ -250,6 +265,122 @@ def _second_pass(table: pa.Table) -> pa.Table:
     )
 
 
+_CONTEXTS = "bucket int, keys binary, owners binary"
+
+
+def context_features(
+    context: pa.ListArray, key_at: np.ndarray, leading: pa.ListArray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and shingles such that two rows of a group that share a passage there share one of them.
+
+    Rows that share a passage have ``_common`` shingles in common, so of a row's different shingles all but
+    as many less one do, in an order of its group: those that its leader does not have (``leading``)
+    come first. What all rows have in common is left out that way, if it is no passage.
+    ``key_at``: where the key begins in the context.
+    """
+    def flat(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        sizes = np.diff(np.asarray(lists.offsets))
+        values = np.asarray(lists.flatten()).astype(np.int32).view(np.uint32).astype(np.uint64)
+        return np.repeat(np.arange(len(sizes), dtype=np.uint64), sizes) << np.uint64(32), values, sizes
+
+    of, values, sizes = flat(context)
+    least = _common(values, sizes, key_at)
+    own = np.unique(of | values)
+    of, values, _ = flat(leading)
+    late = np.isin(own, of | values).astype(np.uint64)
+    row, value = own >> np.uint64(32), own & np.uint64(0xFFFFFFFF)
+    # An odd factor deals the shingles and keeps them apart.
+    order = np.argsort((row << np.uint64(33)) | (late << np.uint64(32)) | (value * np.uint64(0x9E3779B1) & np.uint64(0xFFFFFFFF)))
+    row, value = row[order].astype(np.int64), value[order]
+    kinds = np.bincount(row, minlength=len(sizes))
+    rank = np.arange(len(row)) - (np.cumsum(kinds) - kinds)[row]
+    kept = rank <= (kinds - least)[row]
+    return row[kept], value[kept]
+
+
+def _common(values: np.ndarray, sizes: np.ndarray, key_at: np.ndarray) -> np.ndarray:
+    """Different shingles that each context has in common with others it shares a passage with around the key, at least.
+
+    ``LEAST`` of them are equal, and repeated ones may stand for as many; and 0.8 of the different
+    ones of any ``WIDTH`` places around the key.
+    """
+    own = np.repeat(np.arange(len(sizes), dtype=np.int64), sizes)
+    # Only contexts that repeat a shingle are looked at closer.
+    order = np.lexsort((values, own))
+    same = np.zeros(len(own), bool)
+    same[1:] = (own[order][1:] == own[order][:-1]) & (values[order][1:] == values[order][:-1])
+    repeats = np.bincount(own[order][same], minlength=len(sizes))
+    least = np.full(len(sizes), LEAST)
+    some = np.flatnonzero(repeats)
+    if len(some) == 0:
+        return least
+    values, key_at, repeats = values[(repeats > 0)[own]], key_at[some], repeats[some]
+    sizes = sizes[some]
+    wide = int(sizes.max())
+    column = ranges(np.zeros(len(sizes), np.int64), sizes)
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    # The place of the same shingle before, -1 for none; beyond the end none is new.
+    before = np.full((len(sizes), wide), wide, np.int64)
+    order = np.lexsort((column, values, row))
+    r, v, c = row[order], values[order], column[order]
+    same = np.zeros(len(r), bool)
+    same[1:] = (r[1:] == r[:-1]) & (v[1:] == v[:-1])
+    before[r, c] = np.where(same, np.concatenate([[0], c[:-1]]), -1)
+    fewest = sizes - repeats
+    for start in range(max(wide - WIDTH + 1, 0)):
+        around = (start <= key_at) & (key_at + SHORT <= start + WIDTH) & (start + WIDTH <= sizes)
+        if around.any():
+            n = (before[around, start : start + WIDTH] < start).sum(axis=1)
+            fewest[around] = np.minimum(fewest[around], n)
+    least[some] = np.maximum(np.maximum(LEAST - repeats, -(-NUM * fewest // DEN)), 1)
+    return least
+
+
+def _context_keys(buckets: int):
+    """Keys of each row by ``context_features``, packed by bucket; an owner's last bit tells that it is settled."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, value = context_features(
+                batch.column("context"), np.minimum(np.asarray(batch.column("at")), BESIDE), batch.column("leading")
+            )
+            grp = np.asarray(batch.column("grp")).view(np.uint64)[row]
+            owner = np.asarray(batch.column("owner"))[row]
+            key = mix(grp ^ mix(value + np.uint64(1)))
+            # Most keys of a group in one task, which knows those that the same rows share.
+            bucket = (mix(grp + key % np.uint64(4)) % np.uint64(buckets)).astype(np.int32)
+            order = np.argsort(bucket, kind="stable")
+            key, owner, bucket = key[order], owner[order], bucket[order]
+            heads = np.flatnonzero(np.diff(bucket, prepend=-1))
+            cuts = list(zip(heads, np.append(heads[1:], len(bucket))))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(bucket[heads]), *[pa.array([c[a:b].tobytes() for a, b in cuts], pa.binary()) for c in (key, owner)]],
+                names=["bucket", "keys", "owners"],
+            )
+    return work
+
+
+def _shared_contexts(table: pa.Table) -> pa.Table:
+    """Groups of the rows that share a key, one of them open at least; keys of the same rows make one group."""
+    key = np.frombuffer(b"".join(table.column("keys").to_pylist()), np.uint64)
+    owner = np.frombuffer(b"".join(table.column("owners").to_pylist()), np.int64)
+    order = np.argsort(key)
+    key, owner = key[order], owner[order]
+    alike = key[1:] == key[:-1]
+    shared = np.concatenate([[False], alike]) | np.concatenate([alike, [False]])
+    key, owner = key[shared], owner[shared]
+    if len(key) == 0:
+        return pa.table({"grp": pa.array([], pa.int64()), "owner": pa.array([], pa.int64())})
+    heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    sizes = np.diff(np.append(heads, len(key)))
+    name = np.add.reduceat(mix(owner.view(np.uint64)), heads)
+    kept = np.add.reduceat((owner & 1) == 0, heads, dtype=np.int64) > 0
+    _, first = np.unique(name, return_index=True)
+    kept &= np.isin(np.arange(len(heads)), first)
+    rows = ranges(heads[kept], sizes[kept])
+    return pa.table({"grp": pa.array(np.repeat(mix(name[kept]), sizes[kept]).view(np.int64)), "owner": pa.array(owner[rows])})
+
+
 def _wide_runs(matched: np.ndarray, b: np.ndarray) -> np.ndarray:
     """The matching places of ``b`` without those that no passage can hold.
 
@@ -315,15 +446,45 @@ def passages(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int, int, int]]:
     Parts of a chain that are not alike when it is cut at its gaps are searched for any that are.
     """
     out: list[tuple[int, int, int, int]] = []
-    for chain in _chains(a, b):
-        found, rest = _halved(a, b, chain)
+    chains = _chains(a, b)
+    likeness = _likeness(a, b) if chains else None
+    for chain in chains:
+        found, rest = _halved(likeness, chain)
         out += found
         for i, j in rest:
             out += _any_alike(a, b, i, j)
     return out
 
 
-def _halved(a: np.ndarray, b: np.ndarray, chain: tuple[np.ndarray, np.ndarray]) -> tuple[list, list]:
+def _likeness(a: np.ndarray, b: np.ndarray):
+    """A function of ranges of both: how many different shingles each has, and how many are in both."""
+    def befores(values: np.ndarray, order: np.ndarray) -> np.ndarray:
+        out, ordered = np.full(len(values), -1), values[order]
+        same = np.flatnonzero(ordered[1:] == ordered[:-1])
+        out[order[same + 1]] = order[same]
+        return out
+
+    order = np.argsort(a, kind="stable")
+    ordered = a[order]
+    before_a, before_b = befores(a, order), befores(b, np.argsort(b, kind="stable"))
+    low, high = np.searchsorted(ordered, b), np.searchsorted(ordered, b, side="right")
+    # Where each shingle of ``b`` stands in ``a``, if at one place only.
+    once, often = np.append(order, -1)[low], high - low > 1
+    once[high - low != 1] = -1
+
+    def likeness(i0: int, i1: int, j0: int, j1: int) -> tuple[int, int, int]:
+        new = before_b[j0 : j1 + 1] < j0
+        at = once[j0 : j1 + 1]
+        both = np.count_nonzero(new & (at >= i0) & (at <= i1))
+        for j in (np.flatnonzero(new & often[j0 : j1 + 1]) + j0).tolist():
+            places = order[low[j] : high[j]]
+            first = int(np.searchsorted(places, i0))
+            both += first < len(places) and places[first] <= i1
+        return np.count_nonzero(before_a[i0 : i1 + 1] < i0), np.count_nonzero(new), int(both)
+    return likeness
+
+
+def _halved(likeness, chain: tuple[np.ndarray, np.ndarray]) -> tuple[list, list]:
     """Passages of a chain that is cut at its widest gaps until the parts are alike, and the parts beside them."""
     out, rest, open_ = [], [], [chain]
     while open_:
@@ -335,14 +496,13 @@ def _halved(a: np.ndarray, b: np.ndarray, chain: tuple[np.ndarray, np.ndarray])
             else:
                 rest.append((i, j, True))
             continue
-        x, y = np.unique(a[i[0] : i[-1] + 1]), np.unique(b[j[0] : j[-1] + 1])
-        both = len(np.intersect1d(x, y, assume_unique=True))
-        if DEN * both >= NUM * (len(x) + len(y) - both):
+        left, right, both = likeness(int(i[0]), int(i[-1]), int(j[0]), int(j[-1]))
+        if DEN * both >= NUM * (left + right - both):
             out.append((int(i[0]), int(i[-1]), int(j[0]), int(j[-1])))
             rest = [(*part[:2], False) for part in rest]
             continue
         # Not alike as a whole: cut at the widest gap and try both parts.
-        cut = int(np.argmax(np.diff(i) + np.diff(j))) + 1
+        cut = int(np.argmax(i[1:] - i[:-1] + j[1:] - j[:-1])) + 1
         open_ += [(i[:cut], j[:cut]), (i[cut:], j[cut:])]
     return out, [part[:2] for part in rest]
 
@@ -359,13 +519,24 @@ def _any_alike(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) -> li
     heads, tails = np.append(0, cuts), np.append(cuts, len(i)) - 1
     x, y = a[i[0] : i[-1] + 1], b[j[0] : j[-1] + 1]
     repeats = len(np.unique(x)) < len(x) or len(np.unique(y)) < len(y)
+    if not repeats:
+        # The widest alike from each begin, all at once.
+        left, right = i[tails] - i[heads][:, None] + 1, j[tails] - j[heads][:, None] + 1
+        both = tails - heads[:, None] + 1
+        sides = np.maximum(left, WIDTH) + np.maximum(right, WIDTH)
+        alike = (both > 0) & (DEN * both >= NUM * (sides - both))
+        if not alike.any():
+            return []
+        ends = np.where(alike.any(axis=1), len(tails) - 1 - alike[:, ::-1].argmax(axis=1), -1)
+        best = np.concatenate([[-1], np.maximum.accumulate(ends)[:-1]])
+        return [
+            (*_widened(i[heads[k]], i[tails[ends[k]]], len(a)), *_widened(j[heads[k]], j[tails[ends[k]]], len(b)))
+            for k in np.flatnonzero(ends > best).tolist()
+        ]
     out, covered = [], -1
     for s, head in enumerate(heads.tolist()):
         ends = tails[s:]
-        if repeats:
-            both, left, right = _distinct(a, b, i, j, head, ends)
-        else:
-            both, left, right = ends - head + 1, i[ends] - i[head] + 1, j[ends] - j[head] + 1
+        both, left, right = _distinct(a, b, i, j, head, ends)
         # Where it is narrower than a passage, what it is widened by counts as different.
         left = left + np.maximum(WIDTH - (i[ends] - i[head] + 1), 0)
         right = right + np.maximum(WIDTH - (j[ends] - j[head] + 1), 0)
@@ -481,7 +652,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
         groups = groups.where("n > 1 or some").drop("some")
         drawn = F.pmod(F.xxhash64("seq_id"), F.ceil(F.col("n") / (leaders - 1))) == 0 if leaders > 1 else F.lit(False)
         leads = (F.col("seq_id") == F.col("least")) | drawn
-        return rows.join(groups.hint("merge"), "grp").select("grp", "seq_id", "at", "settled", leads.alias("leads"))
+        return rows.join(groups.hint("merge"), "grp").select(*rows.columns, leads.alias("leads"))
 
     def against_leaders(rows: DataFrame) -> DataFrame:
         """Each leader and every row of its group, those settled before included."""
@@ -489,22 +660,52 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
         pairs = members.select("grp", "seq_id").join(leaders.hint("merge"), "grp")
         return pairs.where(F.col("seq_id") != F.col("leader"))
 
-    def unsettled(rows: DataFrame, spans: DataFrame) -> DataFrame:
+    def compared(rows: DataFrame, spans: DataFrame, tried: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Passages and pairs, those of the leaders of ``rows`` included."""
+        fresh = _ordered_pairs(against_leaders(rows)).join(tried.hint("merge"), ["a", "b"], "left_anti")
+        fresh = materialise(fresh, "substring-tried")
+        spans = materialise(spans.union(verified(fresh, "substring-fresh")), "substring-spans")
+        return spans, tried.union(fresh)
+
+    def unsettled(rows: DataFrame, spans: DataFrame, within: str = "grp") -> DataFrame:
         """Rows that do not lead, without those that a passage shared with a leader of the same group covers.
 
-        A passage shared with another document says nothing of the rest of this group.
+        A passage shared with another document says nothing of the rest of this group. ``within``: the group
+        that the row is settled in.
         """
         leaders = rows.where("leads").select("grp", F.col("seq_id").alias("leader"))
         follow = rows.where("not leads")
         cover = spans.select(F.col("seq_id").alias("_seq"), "other", "first", "last").hint("merge")
         hit = (F.col("seq_id") == F.col("_seq")) & (F.col("leader") == F.col("other")) & F.col("at").between(F.col("first"), F.col("last"))
         settled = materialise(
-            follow.join(leaders.hint("merge"), "grp").join(cover, hit, "left_semi").select("grp", "seq_id").distinct(), "substring-settled"
+            follow.join(leaders.hint("merge"), "grp").join(cover, hit, "left_semi").select(within, "seq_id", "at").distinct(), "substring-settled"
         )
-        left = follow.join(settled.hint("merge"), ["grp", "seq_id"], "left_anti")
+        left = follow.join(settled.hint("merge"), [within, "seq_id", "at"], "left_anti").drop("leads")
+        if within != "grp":
+            return left
         some = settled.select("grp", F.lit(True).alias("_some")).distinct()
         left = left.join(some.hint("merge"), "grp", "left")
-        return left.select("grp", "seq_id", "at", F.coalesce("_some", "settled").alias("settled"))
+        return left.withColumn("settled", F.coalesce("_some", "settled")).drop("_some")
+
+    def dealt(rows: DataFrame, leaders: DataFrame) -> DataFrame:
+        """The groups of the open ``rows``, with all their members, as smaller ones by what stands beside the key."""
+        beside = F.slice(
+            "shingles", F.greatest(F.col("at") - BESIDE, F.lit(0)) + 1, F.least("at", F.lit(BESIDE)) + SHORT + BESIDE
+        )
+        sides = full.hint("merge")
+        lead = rows.select("grp").distinct().join(leaders.hint("merge"), "grp")
+        lead = lead.join(sides, "seq_id").groupBy("grp").agg(F.flatten(F.collect_list(beside)).alias("leading"))
+        lead = materialise(lead, "substring-leading")
+        held = members.join(lead.select("grp").hint("merge"), "grp")
+        held = held.join(rows.select("grp", "seq_id", "at", F.lit(True).alias("open")).hint("merge"), ["grp", "seq_id", "at"], "left")
+        name = F.xxhash64("grp", "seq_id", "at")
+        owner = F.when(F.col("open"), name.bitwiseAND(F.lit(-2))).otherwise(name.bitwiseOR(F.lit(1)))
+        held = materialise(held.select("grp", "seq_id", "at", owner.alias("owner")), "substring-held")
+        beside = held.join(sides, "seq_id").select("grp", "at", "owner", beside.alias("context")).join(lead.hint("merge"), "grp")
+        keys = beside.select("grp", "at", "owner", "context", "leading").mapInArrow(_context_keys(8 * parts), _CONTEXTS)
+        keys = keys.repartition(parts, "bucket").groupBy("bucket").applyInArrow(_shared_contexts, "grp long, owner long")
+        held = held.withColumnRenamed("grp", "base")
+        return materialise(keys.distinct().join(held.hint("merge"), "owner").select("grp", "base", "seq_id", "at", (F.col("owner") % 2 == 0).alias("open")), "substring-dealt")
 
     members = open_
     # First each document with one leader only, which settles whole copies cheaply.
@@ -513,20 +714,19 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     # Verifying a pair finds all its passages: no pair is verified twice.
     tried = materialise(_ordered_pairs(near), "substring-tried")
     spans = verified(tried, "substring-spans")
-    # Then the rest with the leaders of all its groups, and with twice as many each time: as many
-    # rounds as a group's size has bits.
+    # Then the rest with the leaders of all its groups.
     follow = unsettled(every, spans).withColumn("leads", F.lit(False))
     every = materialise(follow.unionByName(every.where("leads")), "substring-led")
+    spans, tried = compared(every, spans, tried)
+    # What is left in smaller groups, with twice as many leaders each time: as many rounds as a
+    # group's size has bits.
+    left = materialise(unsettled(every, spans), "substring-left")
+    members = dealt(left, every.where("leads").select("grp", "seq_id", "at"))
+    every = materialise(led(members.where("open").drop("open").withColumn("settled", F.lit(True)), 1), "substring-led")
     leaders = 1
-    while True:
-        fresh = _ordered_pairs(against_leaders(every)).join(tried.hint("merge"), ["a", "b"], "left_anti")
-        fresh = materialise(fresh, "substring-tried")
-        spans = materialise(spans.union(verified(fresh, "substring-fresh")), "substring-spans")
-        tried = tried.union(fresh)
-        open_ = unsettled(every, spans)
-        every = materialise(led(open_, leaders), "substring-led")
-        if every.limit(1).count() == 0:
-            break
+    while every.limit(1).count() > 0:
+        spans, tried = compared(every, spans, tried)
+        every = materialise(led(unsettled(every, spans, "base"), leaders), "substring-led")
         leaders *= 2
 
     found = spans

@@ -3,6 +3,7 @@
 import numpy as np
 
 from billshift.llm import substring_dedup
+from billshift.sources.writers import materialise
 
 
 def shingled(words):
@@ -64,3 +65,26 @@ def test_documents_with_a_change_near_the_end_of_a_passage_are_linked(spark):
     found = {r["doc_id"]: r for r in substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert [found[i]["first_id"] for i in range(1, 6)] == [1, 1, 1, 1, None]
     assert all(found[i]["n_spans"] == 1 for i in range(1, 5))
+
+
+def test_a_line_that_many_share_makes_few_pairs(spark, monkeypatch):
+    counts = []
+
+    def counted(df, name, *rest):
+        stored = materialise(df, name, *rest)
+        counts.append(stored.count() if name == "substring-tried" else 0)
+        return stored
+
+    monkeypatch.setattr(substring_dedup, "materialise", counted)
+    own = lambda c, n=80: [f"{c}{i}" for i in range(n)]
+    line = [f"l{i}" for i in range(30)]
+    rows = [(k, " ".join([*own(f"x{k}"), *line, *own(f"y{k}")])) for k in range(40)]
+    # A passage around the line that two of them have, with another word in it.
+    rows += [(40, " ".join([*own("a"), *line, "one", *own("p", 24), *own("b")])),
+             (41, " ".join([*own("c"), *line, "two", *own("p", 24), *own("d")]))]
+    # Runs of one word share a key; those that are as wide as a passage are alike.
+    rows += [(k, " ".join([*[f"m{k}"] * 40, *["the"] * (45 if k < 70 else 60), *[f"n{k}"] * 40])) for k in range(50, 74)]
+    found = {r["doc_id"]: r["first_id"] for r in substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    linked = {k: c for k, c in found.items() if c is not None}
+    assert linked == {40: 40, 41: 40, **{k: 70 for k in range(70, 74)}}
+    assert sum(counts) <= 3 * len(rows)  # all pairs: 1,137
