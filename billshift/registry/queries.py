@@ -271,11 +271,13 @@ def _stored_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     claims = star.claims(spark, sf_dir, codes=ALL_CODES).where(F.col(fixed.CLAIM_TYPE).isNotNull())
     wanted = list(dict.fromkeys(c for kind in fixed.CLAIM_TYPES for c in prep.scoring_columns(kind)))
     codes = [c for c in ALL_CODES if c not in wanted]
-    return writers.materialise(claims.select(*wanted, *codes, "period", fixed.CLAIM_TYPE), "claims", [fixed.CLAIM_TYPE])
+    with writers.hashed_joins(spark):
+        return writers.materialise(claims.select(*wanted, *codes, "period", fixed.CLAIM_TYPE), "claims", [fixed.CLAIM_TYPE])
 
 
 def _stored_training(claims: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    return writers.materialise(prep.prepare_training_types(claims, keys=keys), "training", [fixed.CLAIM_TYPE])
+    with writers.hashed_joins(claims.sparkSession):
+        return writers.materialise(prep.prepare_training_types(claims, keys=keys), "training", [fixed.CLAIM_TYPE])
 
 
 def _training_of_all(spark: SparkSession, sf_dir: str, keys: Sequence[str] = ()) -> DataFrame:

@@ -8,7 +8,7 @@ columns asked for, so most queries read ``lineitem`` alone.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -102,19 +102,24 @@ def claims(
     df = table(spark, sf_dir, "lineitem")
     if kind is not None:
         df = df.where(F.col("l_returnflag") == RETURN_FLAGS[kind])
-    wanted = set(codes)
-    if wanted & set(PART_CODES):
-        df = df.join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
-    if wanted & (set(ORDER_CODES) | set(CUSTOMER_CODES)):
+    # A part's or an order's codes are made before the join, once, and only they are shuffled. Orders come
+    # first: lines are at their narrowest when they are shuffled and sorted, and parts may be broadcast.
+    of_orders = {**ORDER_CODES, **CUSTOMER_CODES}
+    if any(c in of_orders for c in codes):
         orders = table(spark, sf_dir, "orders")
-        if wanted & set(CUSTOMER_CODES):
+        if any(c in CUSTOMER_CODES for c in codes):
             # Customers first: the smaller join, so claims are shuffled only once more.
             nation = table(spark, sf_dir, "nation")
             customers = table(spark, sf_dir, "customer").join(
                 nation, F.col("c_nationkey") == F.col("n_nationkey")
             )
+            customers = _coded(customers, "c_custkey", CUSTOMER_CODES, codes)
             orders = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
+        orders = _coded(orders, "o_orderkey", {**ORDER_CODES, **{c: c for c in CUSTOMER_CODES}}, codes)
         df = df.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    if any(c in PART_CODES for c in codes):
+        parts = _coded(table(spark, sf_dir, "part"), "p_partkey", PART_CODES, codes)
+        df = df.join(parts, F.col("l_partkey") == F.col("p_partkey"))
 
     # Two steps: Spark keeps a shared expression of the first one from being repeated.
     claim_type = F.lit(kind) if kind is not None else _claim_type()
@@ -132,7 +137,6 @@ def claims(
         F.when(F.col(fixed.SERVICE_DATE) >= F.col(fixed.EDUCATION_DATE), "after").otherwise("before"),
     )
     reduced = (F.col("period") == "after") & (F.col("l_suppkey") % 3 == 0)
-    expressions = {**LINE_CODES, **PART_CODES, **ORDER_CODES, **CUSTOMER_CODES}
     return df.select(
         (F.col("l_suppkey") + PROVIDER_OFFSET).alias(fixed.PROVIDER),
         claim_type.alias(fixed.CLAIM_TYPE),
@@ -143,10 +147,15 @@ def claims(
         F.expr(f"NOT ({NO_HCPCS}) AND NOT {NO_DIAGNOSIS}").alias("scored"),
         F.col("l_quantity"),
         *ROW_KEY,
-        *[F.expr(expressions[c]).alias(c) for c in codes],
+        *[F.expr(LINE_CODES.get(c, c)).alias(c) for c in codes],
     )
 
 
+def _coded(df: DataFrame, key: str, expressions: Mapping[str, str], codes: Sequence[str]) -> DataFrame:
+    """A side table's key and those of the codes it carries that are asked for."""
+    return df.select(key, *[F.expr(expressions[c]).alias(c) for c in dict.fromkeys(codes) if c in expressions])
+
+
 def _claim_type() -> Column:
     flag = F.col("l_returnflag")
     return F.coalesce(*[F.when(flag == stored, kind) for kind, stored in RETURN_FLAGS.items()])

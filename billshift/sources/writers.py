@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from datetime import date
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -14,6 +15,7 @@ from billshift import fixed
 from billshift.sources.readers import CURRENT, VERSIONS, pipeline_path, weights_path
 
 _OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
+_HASHED = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
 
 
 def write_table(
@@ -254,6 +256,17 @@ def clear_scratch(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextmanager
+def hashed_joins(spark: SparkSession, most: str = "64m") -> Iterator[None]:
+    """Within it, Spark need not sort both sides of a join where no partition of the smaller one, as measured, is over ``most``."""
+    before = spark.conf.get(_HASHED)
+    spark.conf.set(_HASHED, most)
+    try:
+        yield
+    finally:
+        spark.conf.set(_HASHED, before)
+
+
 def materialise(df: DataFrame, name: str, by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
