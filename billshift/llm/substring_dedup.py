@@ -15,18 +15,19 @@ the same minimum with probability J, equal passages always.
    verified on their shingle sequences: matches are chained along the diagonal and a
    chain counts if both sides are wide enough and similar at 0.8 or more, also after what differs
    beside it has made it wide enough.
-4. Places that a passage verified with a leader of the group covers are settled. Where rows are left, the
-   group is dealt into smaller ones by the shingles beside the key that its leader does not have
-   (``_context_keys``): rows that can share a passage there share one of them, rows that share a line do not.
-5. The rest of each of these chooses new leaders, twice as many each time, that are compared with all of
-   it, the settled rows included.
+4. Places that a passage verified with a leader of the group covers are settled. What is left is searched in
+   one task for all groups of a leader (``partners``): each place meets the other rows of its group, by counts of
+   equal shingles along the two (``reach``), and pairs that may share a passage there are verified until one covers it.
+   Very large groups are dealt into smaller ones first, by the shingles beside the key that the leader does not
+   have (``_context_keys``): rows that can share a passage there share one of them, rows that share a line do not.
 
-Not compared: two rows of a group that different leaders have settled. Passages keep the order of their
+Not compared: two rows of a group that are both settled. Passages keep the order of their
 words, and of shingles that repeat within one the nearest are chained.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -64,6 +65,8 @@ GAP = 16
 #: Shingles beside a key, on either side, among which rows of a group that share a passage there have
 #: ``LEAST`` in common: the rest of a stretch with the key, a gap, and what the next stretch must add.
 BESIDE = LEAST - SHORT + GAP
+#: Rows of a group that one task searches; those of a larger one are dealt by what stands beside the key.
+LARGE = 100_000
 _SLICE_BYTES = 1 << 20
 
 _FIRST = "bucket int, keys binary, owners binary, places binary, doc_id long, n_words long, seq_id long"
@@ -381,6 +384,217 @@ def _shared_contexts(table: pa.Table) -> pa.Table:
     return pa.table({"grp": pa.array(np.repeat(mix(name[kept]), sizes[kept]).view(np.int64)), "owner": pa.array(owner[rows])})
 
 
+def _news(values: np.ndarray) -> np.ndarray:
+    """How many shingles that the ``WIDTH`` places before do not have stand before each place, and before the end."""
+    order = np.argsort(values, kind="stable")
+    new = np.ones(len(values), np.int64)
+    again = np.flatnonzero((values[order][1:] == values[order][:-1]) & (np.diff(order) < WIDTH))
+    new[order[again + 1]] = 0
+    return np.concatenate([[0], np.cumsum(new)])
+
+
+def _last(values: np.ndarray) -> np.ndarray:
+    """Where each shingle was before, -1 for nowhere."""
+    order = np.argsort(values, kind="stable")
+    same = np.flatnonzero(values[order][1:] == values[order][:-1])
+    out = np.full(len(values), -1)
+    out[order[same + 1]] = order[same]
+    return out
+
+
+def _single(values: np.ndarray) -> np.ndarray:
+    """Which shingles stand at one place only."""
+    order = np.argsort(values, kind="stable")
+    same = np.concatenate([[False], values[order][1:] == values[order][:-1], [False]])
+    out = np.empty(len(values), bool)
+    out[order] = ~(same[1:] | same[:-1])
+    return out
+
+
+def reach(pair: np.ndarray, i: np.ndarray, j: np.ndarray, left: np.ndarray, right: np.ndarray, sure: np.ndarray) -> np.ndarray:
+    """Which matching places a passage may cover, for many pairs at once, without a search for chains.
+
+    ``pair``: number of the pair, in order; ``i``: places of a sequence whose shingle the other has; ``j``: where
+    the other has it; ``left``, ``right``: ``_news`` of the sequences, in which ``i`` and ``j`` are places. ``sure``:
+    either has it at one place only. At 0.8 a passage has four matches for each shingle that differs, on either
+    side; a step back or wider than a gap counts as none, as one that is not sure. Exact where no shingle repeats.
+    """
+    same = pair[1:] == pair[:-1]
+    step = j[1:] - j[:-1]
+    differ = left[i[1:]] - left[np.minimum(i[:-1] + 1, i[1:])]
+    # Of one pair ``right`` never falls.
+    differ = differ + np.where(same & sure[1:] & sure[:-1] & (step > 0) & (step <= GAP + 1), right[j[1:]] - right[j[:-1] + 1], 0)
+    # Each pair starts below all of the pairs before it, so that no passage begins there.
+    gain = np.where(same, left[i[1:] + 1] - left[i[1:]] - 4 * differ, 0)
+    heads = np.flatnonzero(np.concatenate([[True], ~same]))
+    score = np.concatenate([[0], np.cumsum(gain)])
+    span = int(score.max() - score.min()) + 2
+    score = score - span * pair
+    begin = np.searchsorted(-np.minimum.accumulate(score), -(score + 1))
+    begin = np.maximum(begin, np.repeat(heads, np.diff(np.append(heads, len(i)))))
+    # A passage spans so many places, all of them matches where none repeats.
+    plain = np.repeat(np.logical_and.reduceat(sure, heads), np.diff(np.append(heads, len(i))))
+    ends = np.flatnonzero((i - i[begin] >= LEAST - 1) & (~plain | (np.arange(len(i)) - begin >= LEAST - 1)))
+    opened = np.bincount(begin[ends], minlength=len(i)) - np.bincount(ends + 1, minlength=len(i) + 1)[:-1]
+    return np.cumsum(opened) > 0
+
+
+class _Documents:
+    """Documents of one task, and the places in them that are compared with other documents."""
+
+    def __init__(self, ids: np.ndarray, values: np.ndarray, sizes: np.ndarray):
+        self.ids, self.values, self.sizes = ids, values, sizes
+        self.ends = np.concatenate([[0], np.cumsum(sizes)])
+        order = np.argsort(values, kind="stable")
+        fresh = np.concatenate([[True], values[order][1:] != values[order][:-1]])
+        self.code = np.empty(len(values), np.int32)
+        self.code[order] = np.cumsum(fresh) - 1
+        owner = np.repeat(np.arange(len(ids)), sizes)[order]
+        heads = np.flatnonzero(fresh)
+        #: Shingles that several documents have.
+        self.shared = np.minimum.reduceat(owner, heads) != np.maximum.reduceat(owner, heads)
+        self.place = np.full(len(heads), -1, np.int32)
+        self.different: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def codes(self, x: int) -> np.ndarray:
+        return self.code[self.ends[x] : self.ends[x + 1]]
+
+    def news(self, x: int) -> tuple[np.ndarray, np.ndarray]:
+        if x not in self.different:
+            self.different[x] = _news(self.codes(x)), _single(self.codes(x))
+        return self.different[x]
+
+    def beside(self, x: int, at: np.ndarray, marks: np.ndarray) -> np.ndarray:
+        """Which rows of ``marks``, places of ``x`` each, have at each of ``at`` what a passage has beside a key, at least.
+
+        As ``_common``: so many different shingles.
+        """
+        size = int(self.sizes[x])
+        low, high = np.maximum(at - BESIDE, 0), np.minimum(at + SHORT + BESIDE, size)
+        total = np.zeros((len(marks), size + 1), np.int32)
+        np.cumsum(marks, axis=1, out=total[:, 1:])
+        counts = total[:, high] - total[:, low]
+        if self.news(x)[1].all():
+            return counts >= LEAST
+        own, least = self.codes(x), np.full(len(at), LEAST)
+        last = _last(own)
+        for k, (a, b, key) in enumerate(zip(low.tolist(), high.tolist(), at.tolist())):
+            new = last[a:b] < a
+            if new.all():
+                continue
+            counts[:, k] = np.count_nonzero(marks[:, a:b] & new, axis=1)
+            starts = np.arange(max(a, key + SHORT - WIDTH), min(key, b - WIDTH) + 1)
+            fewest = (last[starts[:, None] + np.arange(WIDTH)] < starts[:, None]).sum(axis=1).min()
+            least[k] = max(LEAST - np.count_nonzero(~new), -(-NUM * int(fewest) // DEN), 1)
+        return counts >= least
+
+    def near(self, x: int, at: np.ndarray, others: np.ndarray, meet: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Those of ``others`` that may share a passage with ``x`` at one of ``at``, and which of these, a block at a time.
+
+        ``meet``: which of ``others`` are compared at each of ``at``.
+        """
+        own, size = self.codes(x), int(self.sizes[x])
+        left, mine = self.news(x)
+        block = max(8, min(256, (1 << 19) // size))
+        for start in range(0, len(others), block):
+            some = others[start : start + block]
+            lengths = self.sizes[some]
+            self.place[own[::-1]] = np.arange(size, dtype=np.int32)[::-1]
+            first, found = self.place[own], self.place[self.code[ranges(self.ends[some], lengths)]]
+            self.place[own] = -1
+            hits = np.zeros((len(some), size + 1), bool)
+            hits[np.repeat(np.arange(len(some)), lengths), found] = True
+            marks = hits[:, first]
+            kept = np.flatnonzero((self.beside(x, at, marks) & meet[start : start + block]).any(axis=1))
+            if len(kept) == 0:
+                continue
+            # Where the others have each shingle of ``x`` first, in all that is kept.
+            ends = np.concatenate([[0], np.cumsum(lengths)])
+            found = found[ranges(ends[kept], lengths[kept])]
+            row = np.repeat(np.arange(len(kept)), lengths[kept])
+            where = np.zeros((len(kept), size + 1), np.int64)
+            where[row[::-1], found[::-1]] = np.arange(len(found))[::-1]
+            pair, i = np.nonzero(marks[kept])
+            j = where[pair, first[i]]
+            news = [self.news(y) for y in some[kept].tolist()]
+            right = np.concatenate([n[:-1] for n, _ in news] + [[0]])
+            theirs = np.concatenate([s for _, s in news])
+            covered = np.zeros((len(kept), size), bool)
+            covered[pair, i] = reach(pair, i, j, left, right, mine[i] & theirs[j])
+            may = covered[:, at] & meet[start + kept]
+            if may.any():
+                yield some[kept], may
+
+    def sequence(self, x: int) -> np.ndarray:
+        return self.values[self.ends[x] : self.ends[x + 1]]
+
+
+def _by(values: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Different values in order, and the places of each."""
+    kinds, first = np.unique(values[(order := np.argsort(values, kind="stable"))], return_index=True)
+    return kinds, np.split(order, first[1:])
+
+
+def partners(docs: _Documents, doc: np.ndarray, grp: np.ndarray, at: np.ndarray, open_: np.ndarray, leader: int) -> list[tuple[int, int, int, int]]:
+    """Passages of the open rows and of other rows of their groups, until each is covered or has met all.
+
+    A row is a key: its document, group and place. ``leader``: the sequence that all have been compared with.
+    """
+    out, open_ = [], open_.copy()
+    _, group = np.unique(grp, return_inverse=True)
+    members = [np.unique(doc[rows]) for rows in _by(group)[1]]
+    holds = lambda g, y: members[g][min(np.searchsorted(members[g], y), len(members[g]) - 1)] == y
+    rows_of = dict(zip(*(x if isinstance(x, list) else x.tolist() for x in _by(doc))))
+    for x, rows in rows_of.items():
+        rows = rows[open_[rows]]
+        if len(rows):
+            # Shingles that no other document has are in no passage.
+            rows = rows[docs.beside(x, at[rows], docs.shared[docs.codes(x)][None, :])[0]]
+        if len(rows) == 0:
+            continue
+        others = np.unique(np.concatenate([members[g] for g in group[rows].tolist()]))
+        others = others[(others != x) & (docs.ids[others] != leader)]
+        meet = np.stack([np.isin(others, members[g], assume_unique=True) for g in group[rows].tolist()], axis=1)
+        for some, may in docs.near(x, at[rows], others, meet):
+            # Those that may cover most first.
+            while len(some) and open_[rows].any():
+                most = np.count_nonzero(may & open_[rows], axis=1)
+                k = int(most.argmax())
+                if most[k] == 0:
+                    break
+                y, may[k] = int(some[k]), False
+                theirs = np.array([r for r in rows_of[y].tolist() if open_[r] and holds(group[r], x)], np.int64)
+                mine = rows[meet[np.searchsorted(others, y)]]
+                for i0, i1, j0, j1 in passages(docs.sequence(x), docs.sequence(y)):
+                    out += [(docs.ids[x], docs.ids[y], i0, i1), (docs.ids[y], docs.ids[x], j0, j1)]
+                    open_[mine] &= (at[mine] < i0) | (at[mine] > i1)
+                    open_[theirs] &= (at[theirs] < j0) | (at[theirs] > j1)
+            if not open_[rows].any():
+                break
+    return out
+
+
+def _partners(table: pa.Table) -> pa.Table:
+    """Passages of ``partners``, a unit of documents at a time."""
+    table = table.sort_by([("unit", "ascending"), ("seq_id", "ascending")])
+    unit = table.column("unit").to_numpy()
+    heads = np.flatnonzero(np.concatenate([[True], unit[1:] != unit[:-1]])) if len(unit) else np.zeros(0, np.int64)
+    found = []
+    for a, b in zip(heads.tolist(), np.append(heads[1:], len(unit)).tolist()):
+        part = table.slice(a, b - a).combine_chunks()
+        shingles, grps = (part.column(c).combine_chunks() for c in ("shingles", "grps"))
+        sizes, rows = (np.asarray(x.value_lengths()).astype(np.int64) for x in (shingles, grps))
+        docs = _Documents(part.column("seq_id").to_numpy(), np.asarray(shingles.flatten()), sizes)
+        at, open_ = (np.asarray(part.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False)) for c in ("ats", "opens"))
+        found += partners(docs, np.repeat(np.arange(b - a), rows), np.asarray(grps.flatten()), at.astype(np.int64), open_.astype(bool), int(part.column("leader")[0].as_py()))
+    return _spans(found)
+
+
+def _spans(found: list[tuple[int, int, int, int]]) -> pa.Table:
+    columns = list(zip(*found)) or [[]] * 4
+    return pa.table({c: pa.array(x, t) for c, x, t in zip(("seq_id", "other", "first", "last"), columns, (pa.int64(), pa.int64(), pa.int32(), pa.int32()))})
+
+
 def _wide_runs(matched: np.ndarray, b: np.ndarray) -> np.ndarray:
     """The matching places of ``b`` without those that no passage can hold.
 
@@ -409,16 +623,21 @@ def _chains(a: np.ndarray, b: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]
     if (high[places] - low[places] == 1).all():
         return _chained_stretches(order[low[places]], places)
     chains: list[list[tuple[int, int]]] = []
+    at, low, high = order.tolist(), low.tolist(), high.tolist()
     for j in places.tolist():
-        places = order[low[j] : high[j]].tolist()
         for chain in reversed(chains[-4:]):
             i0, j0 = chain[-1]
-            near = [i for i in places if 0 < i - i0 <= GAP + 1 and abs((i - i0) - (j - j0)) <= GAP]
-            if j - j0 <= GAP + 1 and near:
-                chain.append((min(near, key=lambda i: abs((i - i0) - (j - j0))), j))
+            if j - j0 > GAP + 1:
+                continue
+            # The place nearest to the diagonal, of those within a gap.
+            same = i0 + j - j0
+            k = bisect_left(at, same, low[j], high[j])
+            near = [i for i in at[max(k - 1, low[j]) : min(k + 1, high[j])] if i0 < i <= i0 + GAP + 1]
+            if near:
+                chain.append((min(near, key=lambda i: abs(i - same)), j))
                 break
         else:
-            chains.append([(places[0], j)])
+            chains.append([(at[low[j]], j)])
     return [tuple(np.array(x) for x in zip(*c)) for c in chains if len(c) > 1]
 
 
@@ -645,91 +864,59 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
         sides = pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b")
         return materialise(sides.select("a", "b", "left", "right").mapInArrow(_verify, _SPANS), name)
 
-    def led(rows: DataFrame, leaders: int) -> DataFrame:
-        """Rows still to be compared, and which of them lead: the smallest of a group, and about
-        as many more by hash as makes ``leaders``. A row alone has been compared with all but the settled rows."""
-        groups = rows.groupBy("grp").agg(F.min("seq_id").alias("least"), F.count("*").alias("n"), F.max("settled").alias("some"))
-        groups = groups.where("n > 1 or some").drop("some")
-        drawn = F.pmod(F.xxhash64("seq_id"), F.ceil(F.col("n") / (leaders - 1))) == 0 if leaders > 1 else F.lit(False)
-        leads = (F.col("seq_id") == F.col("least")) | drawn
-        return rows.join(groups.hint("merge"), "grp").select(*rows.columns, leads.alias("leads"))
-
-    def against_leaders(rows: DataFrame) -> DataFrame:
-        """Each leader and every row of its group, those settled before included."""
-        leaders = rows.where("leads").select("grp", F.col("seq_id").alias("leader"))
-        pairs = members.select("grp", "seq_id").join(leaders.hint("merge"), "grp")
-        return pairs.where(F.col("seq_id") != F.col("leader"))
-
-    def compared(rows: DataFrame, spans: DataFrame, tried: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Passages and pairs, those of the leaders of ``rows`` included."""
-        fresh = _ordered_pairs(against_leaders(rows)).join(tried.hint("merge"), ["a", "b"], "left_anti")
-        fresh = materialise(fresh, "substring-tried")
-        spans = materialise(spans.union(verified(fresh, "substring-fresh")), "substring-spans")
-        return spans, tried.union(fresh)
-
-    def unsettled(rows: DataFrame, spans: DataFrame, within: str = "grp") -> DataFrame:
-        """Rows that do not lead, without those that a passage shared with a leader of the same group covers.
-
-        A passage shared with another document says nothing of the rest of this group. ``within``: the group
-        that the row is settled in.
+    def uncovered(rows: DataFrame, spans: DataFrame) -> DataFrame:
+        """Rows that no passage shared with the leader of the same group covers.
+
+        A passage shared with another document says nothing of the rest of this group.
         """
-        leaders = rows.where("leads").select("grp", F.col("seq_id").alias("leader"))
-        follow = rows.where("not leads")
         cover = spans.select(F.col("seq_id").alias("_seq"), "other", "first", "last").hint("merge")
         hit = (F.col("seq_id") == F.col("_seq")) & (F.col("leader") == F.col("other")) & F.col("at").between(F.col("first"), F.col("last"))
-        settled = materialise(
-            follow.join(leaders.hint("merge"), "grp").join(cover, hit, "left_semi").select(within, "seq_id", "at").distinct(), "substring-settled"
-        )
-        left = follow.join(settled.hint("merge"), [within, "seq_id", "at"], "left_anti").drop("leads")
-        if within != "grp":
-            return left
-        some = settled.select("grp", F.lit(True).alias("_some")).distinct()
-        left = left.join(some.hint("merge"), "grp", "left")
-        return left.withColumn("settled", F.coalesce("_some", "settled")).drop("_some")
-
-    def dealt(rows: DataFrame, leaders: DataFrame) -> DataFrame:
-        """The groups of the open ``rows``, with all their members, as smaller ones by what stands beside the key."""
-        beside = F.slice(
-            "shingles", F.greatest(F.col("at") - BESIDE, F.lit(0)) + 1, F.least("at", F.lit(BESIDE)) + SHORT + BESIDE
-        )
+        return rows.join(cover, hit, "left_anti")
+
+    def dealt(rows: DataFrame) -> DataFrame:
+        """The rows of large groups in smaller ones, by what stands beside the key."""
         sides = full.hint("merge")
-        lead = rows.select("grp").distinct().join(leaders.hint("merge"), "grp")
-        lead = lead.join(sides, "seq_id").groupBy("grp").agg(F.flatten(F.collect_list(beside)).alias("leading"))
-        lead = materialise(lead, "substring-leading")
-        held = members.join(lead.select("grp").hint("merge"), "grp")
-        held = held.join(rows.select("grp", "seq_id", "at", F.lit(True).alias("open")).hint("merge"), ["grp", "seq_id", "at"], "left")
+        lead = rows.where("seq_id = leader").join(sides, "seq_id").groupBy("grp").agg(F.flatten(F.collect_list(beside)).alias("leading"))
         name = F.xxhash64("grp", "seq_id", "at")
         owner = F.when(F.col("open"), name.bitwiseAND(F.lit(-2))).otherwise(name.bitwiseOR(F.lit(1)))
-        held = materialise(held.select("grp", "seq_id", "at", owner.alias("owner")), "substring-held")
-        beside = held.join(sides, "seq_id").select("grp", "at", "owner", beside.alias("context")).join(lead.hint("merge"), "grp")
-        keys = beside.select("grp", "at", "owner", "context", "leading").mapInArrow(_context_keys(8 * parts), _CONTEXTS)
+        held = materialise(rows.withColumn("owner", owner), "substring-large")
+        context = held.join(sides, "seq_id").select("grp", "at", "owner", beside.alias("context")).join(lead.hint("merge"), "grp")
+        keys = context.select("grp", "at", "owner", "context", "leading").mapInArrow(_context_keys(8 * parts), _CONTEXTS)
         keys = keys.repartition(parts, "bucket").groupBy("bucket").applyInArrow(_shared_contexts, "grp long, owner long")
-        held = held.withColumnRenamed("grp", "base")
-        return materialise(keys.distinct().join(held.hint("merge"), "owner").select("grp", "base", "seq_id", "at", (F.col("owner") % 2 == 0).alias("open")), "substring-dealt")
+        return keys.distinct().join(held.drop("grp").hint("merge"), "owner").select(rows.columns)
+
+    def searched(rows: DataFrame, unit: str) -> DataFrame:
+        """Passages of the open ``rows`` and others of their groups; documents go to a task once for each ``unit``."""
+        held = rows.groupBy(F.col(unit).alias("unit"), "leader", "seq_id").agg(F.collect_list(F.struct("grp", "at", "open")).alias("rows"))
+        held = held.join(full.hint("merge"), "seq_id").select(
+            F.pmod(F.xxhash64("unit"), F.lit(8 * parts)).cast("int").alias("bucket"), "unit", "leader", "seq_id",
+            F.col("rows.grp").alias("grps"), F.col("rows.at").alias("ats"), F.col("rows.open").alias("opens"), "shingles",
+        )
+        return held.repartition(parts, "bucket").groupBy("bucket").applyInArrow(_partners, _SPANS)
 
-    members = open_
+    beside = F.slice("shingles", F.greatest(F.col("at") - BESIDE, F.lit(0)) + 1, F.least("at", F.lit(BESIDE)) + SHORT + BESIDE)
+    # The smallest sequence of a group leads it.
+    groups = open_.groupBy("grp").agg(F.min("seq_id").alias("leader"), F.count("*").alias("n"))
+    every = materialise(open_.join(groups.hint("merge"), "grp"), "substring-led")
+    follow = every.where("seq_id != leader")
     # First each document with one leader only, which settles whole copies cheaply.
-    every = materialise(led(open_.withColumn("settled", F.lit(False)), 1), "substring-led")
-    near = against_leaders(every).groupBy("seq_id").agg(F.min("leader").alias("leader"))
+    near = follow.groupBy("seq_id").agg(F.min("leader").alias("leader"))
     # Verifying a pair finds all its passages: no pair is verified twice.
     tried = materialise(_ordered_pairs(near), "substring-tried")
     spans = verified(tried, "substring-spans")
     # Then the rest with the leaders of all its groups.
-    follow = unsettled(every, spans).withColumn("leads", F.lit(False))
-    every = materialise(follow.unionByName(every.where("leads")), "substring-led")
-    spans, tried = compared(every, spans, tried)
-    # What is left in smaller groups, with twice as many leaders each time: as many rounds as a
-    # group's size has bits.
-    left = materialise(unsettled(every, spans), "substring-left")
-    members = dealt(left, every.where("leads").select("grp", "seq_id", "at"))
-    every = materialise(led(members.where("open").drop("open").withColumn("settled", F.lit(True)), 1), "substring-led")
-    leaders = 1
-    while every.limit(1).count() > 0:
-        spans, tried = compared(every, spans, tried)
-        every = materialise(led(unsettled(every, spans, "base"), leaders), "substring-led")
-        leaders *= 2
-
-    found = spans
+    follow = materialise(uncovered(follow, spans), "substring-left")
+    fresh = materialise(_ordered_pairs(follow).join(tried.hint("merge"), ["a", "b"], "left_anti"), "substring-tried")
+    spans = spans.union(verified(fresh, "substring-fresh"))
+    # What is left looks for a partner among the other rows of its groups, those settled before included.
+    left = materialise(uncovered(follow.where("n > 2"), spans), "substring-left")
+    marked = left.select("grp", "seq_id", "at", F.lit(True).alias("_open")).hint("merge")
+    held = every.join(left.select("grp").distinct().hint("merge"), "grp").join(marked, ["grp", "seq_id", "at"], "left")
+    held = materialise(held.withColumn("open", F.col("_open").isNotNull()).drop("_open"), "substring-held")
+    some = searched(held.where(F.col("n") <= LARGE), "leader")
+    if held.where(F.col("n") > LARGE).limit(1).count():
+        some = some.union(searched(dealt(held.where(F.col("n") > LARGE)), "grp"))
+    found = spans.union(materialise(some, "substring-partners"))
     # Documents that share passages, directly or through others, form a class.
     label = components(found.select(F.col("seq_id").alias("a"), F.col("other").alias("b")).distinct())
     member = label.join(classes.select(F.col("seq_id").alias("id"), "rep").hint("merge"), "id")

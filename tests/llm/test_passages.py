@@ -88,3 +88,61 @@ def test_a_line_that_many_share_makes_few_pairs(spark, monkeypatch):
     linked = {k: c for k, c in found.items() if c is not None}
     assert linked == {40: 40, 41: 40, **{k: 70 for k in range(70, 74)}}
     assert sum(counts) <= 3 * len(rows)  # all pairs: 1,137
+
+
+def test_copies_that_differ_everywhere_make_few_pairs(spark, monkeypatch):
+    """All share lines of 18 words and more; what few of them share is found without a search of each pair."""
+    counts = []
+
+    def counted(df, name, *rest):
+        stored = materialise(df, name, *rest)
+        counts.append(stored.count() if name == "substring-tried" else 0)
+        return stored
+
+    monkeypatch.setattr(substring_dedup, "materialise", counted)
+    rng = np.random.default_rng(11)
+    base, texts = [f"w{i}" for i in range(240)], []
+    for k in range(60):
+        words = list(base)
+        for at in range(int(rng.integers(0, 28)), len(words), 28):
+            words[at] = f"x{k}y{at}"
+        texts.append(words)
+    texts[50][100:160] = texts[51][100:160]
+    number = {w: i + 1 for i, w in enumerate(sorted({w for t in texts for w in t}))}
+    shingles = [shingled(substring_dedup.mix(np.array([number[w] for w in t], np.uint64)) >> np.uint64(2)) for t in texts]
+    want = {k for k in range(60) for m in range(60) if k != m and substring_dedup.passages(shingles[k], shingles[m])}
+    rows = [(k, " ".join(t)) for k, t in enumerate(texts)]
+    found = substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {50, 51} <= want and {r["doc_id"] for r in found if r["n_spans"]} == want
+    assert sum(counts) <= 10 * len(rows)  # all pairs: 1,770
+
+
+def test_large_groups_are_dealt_and_searched(spark, monkeypatch):
+    own = lambda c, n=80: [f"{c}{i}" for i in range(n)]
+    line = [f"l{i}" for i in range(30)]
+    rows = [(k, " ".join([*own(f"x{k}"), *line, *own(f"y{k}")])) for k in range(20)]
+    rows += [(40, " ".join([*own("a"), *line, "one", *own("p", 24), *own("b")])),
+             (41, " ".join([*own("c"), *line, "two", *own("p", 24), *own("d")]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(substring_dedup, "LARGE", 4)
+    found = {r["doc_id"]: r["first_id"] for r in substring_dedup.repeated_passages(docs).collect()}
+    assert {k: c for k, c in found.items() if c is not None} == {40: 40, 41: 40}
+
+
+def test_reach_holds_all_passages():
+    rng = np.random.default_rng(12)
+    total = 0
+    for n in range(120):
+        words = rng.integers(1, 1 << 62, (2, 400)) if n % 3 else rng.integers(1, 40, (2, 400))
+        words[1] = words[0]
+        for at in rng.integers(0, 400, rng.integers(0, 24)):
+            words[1, at] = rng.integers(1, 1 << 62)
+        a, b = shingled(words[0]), shingled(np.delete(words[1], rng.integers(0, 400, n % 4)))
+        docs = substring_dedup._Documents(np.arange(2), np.concatenate([a, b]), np.array([len(a), len(b)]))
+        both = np.flatnonzero(np.isin(a, b))
+        for i0, i1, _, _ in substring_dedup.passages(a, b):
+            at = both[(both >= i0) & (both <= min(i1, len(a) - substring_dedup.SHORT))]
+            may = [m[0] for _, m in docs.near(0, at, np.array([1]), np.ones((1, len(at)), bool))]
+            assert may and may[0].mean() > (0.999 if n % 3 else 0.9)
+            total += 1
+    assert total > 100
