@@ -130,9 +130,12 @@ def _predictor(model: PipelineModel) -> Column | None:
     return predictor(codes, code_weights(model), regression.intercept)(*indexed_columns(model))
 
 
-def score(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """Add ``prediction``; rows with a null or unseen code drop out."""
-    frame, prediction = df.drop("prediction"), _predictor(model)
+def score(model: PipelineModel, df: DataFrame, by_stages: bool = False) -> DataFrame:
+    """Add ``prediction``; rows with a null or unseen code drop out.
+
+    ``by_stages``: by the model's own stages, in the JVM, even where weights can be looked up.
+    """
+    frame, prediction = df.drop("prediction"), None if by_stages else _predictor(model)
     if prediction is None:
         return model.transform(frame)
     return frame.withColumn("prediction", prediction).where(F.col("prediction").isNotNull())

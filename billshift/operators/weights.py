@@ -121,16 +121,16 @@ def held_weights(weights: DataFrame, columns: Sequence[str]) -> tuple[list, list
     return (codes, values, intercept[0]) if plain and len(rows) <= MOST_CODES + 1 else None
 
 
-def score_by_weights(claims: DataFrame, weights: DataFrame, columns: Sequence[str]) -> DataFrame:
+def score_by_weights(claims: DataFrame, weights: DataFrame, columns: Sequence[str], joined: bool = False) -> DataFrame:
     """``claims`` with ``scored`` and ``prediction``; no prediction where a code is null or has no weight.
 
     ``weights``: ``position, code, weight`` and the intercept's row; ``columns`` as for
-    ``look_up``. Columns of the two names are replaced. Every task holds a small table; a larger
-    one is joined.
+    ``look_up``. Columns of the two names are replaced. Every task holds a small table, in Python; a larger
+    one is joined, as any is if ``joined``.
     """
     frame = claims.drop("scored", "prediction")
     names = frame.columns
-    held = held_weights(weights, columns)
+    held = None if joined else held_weights(weights, columns)
     if held is not None:
         frame = frame.withColumn("prediction", predictor(*held)(*columns))
         return frame.select(*names, F.col("prediction").isNotNull().alias("scored"), "prediction")

@@ -428,7 +428,7 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = _stored_claims(spark, sf_dir)
     table = _effects(prep.prepare_training_types(stored.where(F.col("period") == "before")))
     scored = [
-        weights.score_by_weights(prep.prepare_scoring(stored, kind), table[kind], columns).where("scored")
+        weights.score_by_weights(prep.prepare_scoring(stored, kind), table[kind], columns, joined=True).where("scored")
         for kind, columns in KINDS.items()
     ]
     rows = metrics.merge_metrics([effect.residuals(s) for s in scored])
@@ -464,7 +464,7 @@ def stale_prediction(spark: SparkSession, sf_dir: str) -> DataFrame:
     learn = _training_claims(spark, sf_dir, "DME").where(F.col("label") < 50_000)
     model = training.fit(writers.materialise(learn, "training"), "DME")
     claims = _training_claims(spark, sf_dir, "DME").withColumn("prediction", F.lit(-1e9))
-    scored = training.score(model, claims).withColumn("stale", F.col("prediction") == -1e9)
+    scored = training.score(model, claims, by_stages=True).withColumn("stale", F.col("prediction") == -1e9)
     return scored.groupBy("stale").agg(F.count("*").alias("n_rows"))
 
 
