@@ -16,7 +16,7 @@ the same minimum with probability J, equal passages always.
    chain counts if both sides are wide enough and similar at 0.8 or more, also after what differs
    beside it has made it wide enough.
 4. Places that a passage verified with a leader of the group covers are settled. What is left is searched in
-   one task for all groups of a leader (``partners``): each place meets the other rows of its group, by counts of
+   one task for all groups of a leader, or more for many (``partners``): each place meets the other rows of its group, by counts of
    equal shingles along the two (``reach``), and pairs that may share a passage there are verified until one covers it.
    Very large groups are dealt into smaller ones first, by the shingles beside the key that the leader does not
    have (``_context_keys``): rows that can share a passage there share one of them, rows that share a line do not.
@@ -67,6 +67,8 @@ GAP = 16
 BESIDE = LEAST - SHORT + GAP
 #: Rows of a group that one task searches; those of a larger one are dealt by what stands beside the key.
 LARGE = 100_000
+#: Documents with open rows that a task compares with the others of their groups, about.
+SHARE = 512
 _SLICE_BYTES = 1 << 20
 
 _FIRST = "bucket int, keys binary, owners binary, places binary, doc_id long, n_words long, seq_id long"
@@ -886,8 +888,16 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
         return keys.distinct().join(held.drop("grp").hint("merge"), "owner").select(rows.columns)
 
     def searched(rows: DataFrame, unit: str) -> DataFrame:
-        """Passages of the open ``rows`` and others of their groups; documents go to a task once for each ``unit``."""
-        held = rows.groupBy(F.col(unit).alias("unit"), "leader", "seq_id").agg(F.collect_list(F.struct("grp", "at", "open")).alias("rows"))
+        """Passages of the open ``rows`` and others of their groups; documents go to a task once for each ``unit``.
+
+        A unit of many open documents is dealt to several tasks, by these: all members of their groups go there too.
+        """
+        rows = rows.withColumn("unit", F.col(unit))
+        shares = rows.where("open").groupBy("unit").agg(F.ceil(F.countDistinct("seq_id") / SHARE).alias("shares"))
+        share = F.pmod(F.xxhash64("seq_id"), F.col("shares"))
+        groups = rows.where("open").join(shares.hint("merge"), "unit").select("unit", "grp", "shares", share.alias("share")).distinct()
+        held = rows.join(groups.hint("merge"), ["unit", "grp"]).withColumn("open", F.col("open") & (share == F.col("share")))
+        held = held.groupBy(F.xxhash64("unit", "share").alias("unit"), "leader", "seq_id").agg(F.collect_list(F.struct("grp", "at", "open")).alias("rows"))
         held = held.join(full.hint("merge"), "seq_id").select(
             F.pmod(F.xxhash64("unit"), F.lit(8 * parts)).cast("int").alias("bucket"), "unit", "leader", "seq_id",
             F.col("rows.grp").alias("grps"), F.col("rows.at").alias("ats"), F.col("rows.open").alias("opens"), "shingles",

@@ -124,9 +124,12 @@ def test_large_groups_are_dealt_and_searched(spark, monkeypatch):
     rows += [(40, " ".join([*own("a"), *line, "one", *own("p", 24), *own("b")])),
              (41, " ".join([*own("c"), *line, "two", *own("p", 24), *own("d")]))]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    monkeypatch.setattr(substring_dedup, "LARGE", 4)
-    found = {r["doc_id"]: r["first_id"] for r in substring_dedup.repeated_passages(docs).collect()}
-    assert {k: c for k, c in found.items() if c is not None} == {40: 40, 41: 40}
+    # Also where each open document is compared in a task of its own.
+    for large, share in ((4, 512), (100, 1)):
+        monkeypatch.setattr(substring_dedup, "LARGE", large)
+        monkeypatch.setattr(substring_dedup, "SHARE", share)
+        found = {r["doc_id"]: r["first_id"] for r in substring_dedup.repeated_passages(docs).collect()}
+        assert {k: c for k, c in found.items() if c is not None} == {40: 40, 41: 40}
 
 
 def test_reach_holds_all_passages():
